@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meterline.llm import chat, mixing, quality, secret_scan
+from meterline.llm import chat, mixing, quality, secret_scan, substring
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op10_quality_rules": quality.op10_quality_rules,

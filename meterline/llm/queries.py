@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from meterline.llm import chat, mixing, packing, quality, secret_scan, substring, token_counts
+from meterline.llm import ann, chat, mixing, packing, quality, secret_scan, substring, token_counts
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_pack_sequences": packing.op5_pack_sequences,
+    "op6_nearest_neighbours": ann.op6_nearest_neighbours,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op10_quality_rules": quality.op10_quality_rules,

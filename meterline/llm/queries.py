@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.llm import ann, chat, mixing, packing, quality, secret_scan, substring, token_counts
+from meterline.llm import ann, chat, mixing, ngram_join, packing, quality, secret_scan, substring, token_counts
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_nearest_neighbours": ann.op6_nearest_neighbours,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL = {"op1_chat_format": chat.OP1_SQL, "op8_mix_sources": mixing.OP8_SQL}

@@ -5,23 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.tables import read, without_breaks, words_of
+from meterline.llm.tables import read, words_of
 
+BREAK = r"[\x20\x09-\x0D]"
 #: Signs that close a sentence, perhaps before a closing quote or bracket.
-CLOSED = r"[.!?:;…][\"'»”’)\]]*\s*$"
-BOILERPLATE = r"(?i)all rights reserved|terms of (use|service)|privacy policy|cookie|javascript|lorem ipsum|sign up|log ?in to|licensed under|released under the|general public license"
+CLOSED = r"[.!?:;…][\"'»”’)\]]{0,3}$"
+BOILERPLATE = [
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie", "javascript", "lorem ipsum",
+    "sign up", "log in to", "licensed under", "released under", "public license",
+]
 WINDOW = 8
 
 
-def line_fails(line, fewest_words: int = 10):
-    """Whether a line is removed: navigation, boilerplate, no closing sign on a short line, symbols, or capitals alone."""
-    n_words = F.size(words_of(line))
-    letters = F.translate(without_breaks(line), "!?.,;:#*$%&|<>", "")
-    navigation = (F.char_length(line) - F.char_length(F.translate(line, "|»›•", ""))) >= 3
-    unclosed = (n_words < fewest_words) & ~line.rlike(CLOSED)
-    symbols = (F.char_length(line) - F.char_length(F.translate(line, "#*$%&<>", ""))) * 4 > F.char_length(without_breaks(line))
-    shouting = (n_words >= 5) & (F.upper(letters) == letters) & (F.lower(letters) != letters)
-    return navigation | unclosed | symbols | shouting | line.rlike(BOILERPLATE)
+def has_word(text):
+    return text.rlike(r"[^\x20\x09-\x0D]")
+
+
+def word_chars(text):
+    return F.char_length(text) - F.regexp_count(text, F.lit(BREAK))
+
+
+def has_boilerplate(text):
+    low, found = F.lower(text), F.lit(False)
+    for phrase in BOILERPLATE:
+        found = found | F.contains(low, F.lit(phrase))
+    return found
+
+
+def line_fails(line, boilerplate, symbols, fewest_words: int = 10):
+    """Whether a line is removed: navigation, symbols, capitals alone, no closing sign on a short line, or boilerplate.
+
+    boilerplate and symbols say for the whole text whether looking for them in its lines is worth while.
+    """
+    navigation = line.rlike(r"[|»›•].*[|»›•].*[|»›•]")
+    unclosed = ~F.substring(F.rtrim(line), -4, 4).rlike(CLOSED) & (F.size(words_of(line)) < fewest_words)
+    shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}") & (F.size(words_of(line)) >= 5)
+    full_of_symbols = symbols & (F.regexp_count(line, F.lit(r"[#*$%&<>]")) * 4 > word_chars(line))
+    return unclosed | shouting | navigation | full_of_symbols | (boilerplate & has_boilerplate(line))
 
 
 def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
@@ -31,12 +51,14 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
     stays null, counts as empty and is not kept; so is a text without words.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    left = F.filter(F.split(text, "\n", -1), lambda line: (without_breaks(line) == "") | ~line_fails(line))
-    cleaned = F.array_join(left, "\n")
-    full, rest = F.char_length(without_breaks(text)), F.char_length(without_breaks(F.col("cleaned")))
-    return docs.withColumn("cleaned", F.when(F.col("text").isNotNull(), cleaned)).withColumn(
-        "kept", (full > 0) & (F.coalesce(rest, F.lit(0)) >= full * (1 - most_lost))
-    )
+    marked = docs.withColumn("_boilerplate", has_boilerplate(text)).withColumn("_symbols", text.rlike(r"[#*$%&<>].*[#*$%&<>]"))
+    marked = marked.withColumn("_lines", F.split(text, "\n", -1))
+    left = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.col("_boilerplate"), F.col("_symbols")))
+    marked = marked.withColumn("_left", left)
+    whole = F.size("_left") == F.size("_lines")
+    cleaned = F.when(whole, F.col("text")).when(F.col("text").isNotNull(), F.array_join("_left", "\n"))
+    rest = F.when(whole, has_word(text)).otherwise(has_word(text) & (word_chars(F.array_join("_left", "\n")) >= word_chars(text) * (1 - most_lost)))
+    return marked.withColumn("cleaned", cleaned).withColumn("kept", rest).drop("_boilerplate", "_symbols", "_lines", "_left")
 
 
 def window_hashes(hashes):
@@ -57,7 +79,7 @@ def document_stats(docs: DataFrame) -> DataFrame:
     equal to a neighbour give the places where a repeat starts.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda line: without_breaks(line) != "")
+    lines = F.filter(F.split(text, "\n", -1), has_word)
     sized = docs.withColumn("_words", F.transform(words_of(text), lambda w: F.xxhash64(w))).withColumn("_lines", lines)
     sized = sized.withColumn("_windows", window_hashes(F.col("_words")))
     again = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -82,8 +104,8 @@ def document_stats(docs: DataFrame) -> DataFrame:
     )
     stats = (
         sized.withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.char_length(without_breaks(text)).cast("long"))
-        .withColumn("n_symbols", (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long"))
+        .withColumn("word_chars", word_chars(text).cast("long"))
+        .withColumn("n_symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
     )

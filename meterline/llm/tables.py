@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The six characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
-WORD_BREAKS = " \t\n\x0b\x0c\r"
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -35,8 +32,4 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def words_of(text):
     """Array of the words `[^\\x20\\x09-\\x0D]+` of a string column, in order."""
-    return F.array_remove(F.split(F.translate(text, WORD_BREAKS[1:], " " * 5), " "), "")
-
-
-def without_breaks(text):
-    return F.translate(text, WORD_BREAKS, "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meterline.llm import ann, chat, mixing, ngram_join, packing, quality, secret_scan, substring, token_counts
+from meterline.llm import ann, chat, language_model, mixing, ngram_join, packing, quality, secret_scan, substring, token_counts
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_lm_scores": language_model.op4_lm_scores,
     "op5_pack_sequences": packing.op5_pack_sequences,
     "op6_nearest_neighbours": ann.op6_nearest_neighbours,
     "op7_secret_scan": secret_scan.op7_secret_scan,

@@ -41,8 +41,8 @@ class WordIds:
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
 
-    def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words of all texts in a row, and how many ids each text has."""
+    def by_word(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words of all texts in a row, how many ids each word has, and how many words each text."""
         if len(self.known) > self.most:
             self._forget()
         self._learn(set(chain.from_iterable(texts)))
@@ -51,8 +51,12 @@ class WordIds:
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.begin[at] - ends + size, size) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
+        return self.flat[np.repeat(self.begin[at] - ends + size, size) + np.arange(total)], size, n_words
+
+    def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words of all texts in a row, and how many ids each text has."""
+        ids, size, n_words = self.by_word(texts)
+        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n_words)])]
         return ids, np.diff(upto)
 
 

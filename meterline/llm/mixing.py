@@ -47,7 +47,7 @@ def cycle(spark: SparkSession, shares: dict[str, int], others: int) -> DataFrame
         FROM slots""")
 
 
-def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block_rows: int = BLOCK_ROWS, rows_per_chunk: int = 4096) -> DataFrame:
+def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block_rows: int = BLOCK_ROWS, rows_per_chunk: int = 1024) -> DataFrame:
     """docs with stream, block_no, release, deadline, slot and place: in the order of (slot, place) they are mixed.
 
     Each source is dealt into blocks of block_rows documents in the order of the MD5 of doc_id, a fixed
@@ -90,6 +90,12 @@ def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block_rows: in
     )
 
 
+def in_mixed_order(docs: DataFrame, shares: dict[str, int], others: int = 1) -> DataFrame:
+    """The columns of docs alone, dealt into partitions by rising slot and sorted, so files follow the mixed order."""
+    placed = mix(docs, shares, others)
+    return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(docs, PRODUCTION_SHARES, OTHERS_SHARE).select("doc_id", "source", "block_no", "release", "deadline", "slot", "place")

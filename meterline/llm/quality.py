@@ -53,8 +53,9 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = docs.withColumn("_boilerplate", has_boilerplate(text)).withColumn("_symbols", text.rlike(r"[#*$%&<>].*[#*$%&<>]"))
     marked = marked.withColumn("_lines", F.split(text, "\n", -1))
-    left = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.col("_boilerplate"), F.col("_symbols")))
-    marked = marked.withColumn("_left", left)
+    usual = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.lit(False), F.lit(False)))
+    odd = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.col("_boilerplate"), F.col("_symbols")))
+    marked = marked.withColumn("_left", F.when(F.col("_boilerplate") | F.col("_symbols"), odd).otherwise(usual))
     whole = F.size("_left") == F.size("_lines")
     cleaned = F.when(whole, F.col("text")).when(F.col("text").isNotNull(), F.array_join("_left", "\n"))
     rest = F.when(whole, has_word(text)).otherwise(has_word(text) & (word_chars(F.array_join("_left", "\n")) >= word_chars(text) * (1 - most_lost)))
@@ -115,7 +116,9 @@ def document_stats(docs: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The documents that pass both, with cleaned text, in the columns of docs."""
-    judged = clean_lines(document_stats(docs)).where(~F.col("base_failed") & F.col("kept"))
+    judged = clean_lines(document_stats(docs))
+    # a filter on row numbers stays above the rules; pushed below, it would work them out again inside their own loops
+    judged = judged.withColumn("_row", F.monotonically_increasing_id()).where(~F.col("base_failed") & F.col("kept") & (F.col("_row") >= 0))
     return judged.withColumn("text", F.col("cleaned")).withColumn("n_chars", F.char_length("cleaned").cast("long")).select(*docs.columns)
 
 

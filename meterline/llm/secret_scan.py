@@ -104,12 +104,21 @@ def redact(text, spans, mark: str = "[SECRET]"):
     )
 
 
+def redact_documents(docs: DataFrame) -> DataFrame:
+    """docs with every secret replaced by a mark, in its own columns; n_chars follows where there is one."""
+    back, _ = scan_versions(docs)
+    back = back.withColumn("text", F.when(F.size("spans") > 0, redact(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        back = back.withColumn("n_chars", F.char_length("text").cast("long"))
+    return back.select(*docs.columns)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     back, _ = scan_versions(read(spark, sf_dir, "documents").select("doc_id", "text"))
     back = back.withColumn("base", F.filter("spans", lambda s: s["kind"] < BASE))
     return back.select(
         "doc_id",
-        *[F.size(F.filter(F.col("base")["kind"], F.lit(k).__eq__)).cast("long").alias(f"n_{RULES[k][0]}") for k in range(BASE)],
+        *[F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS BIGINT)").alias(f"n_{RULES[k][0]}") for k in range(BASE)],
         F.sha2(digest(F.col("base")), 256).alias("base_sha256"),
         digest(F.col("spans")).alias("spans"),
     )

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -450,8 +451,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
-    lay = blocks.layout(docs)
-    packed = blocks.chunks(docs, lay).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist()
+    lay = blocks.layout(docs, block_bytes=4 << 20)
+    packed = blocks.chunks(docs, lay).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
     try:
         met = packed.groupBy("block").applyInArrow(lambda t: announce(t, lay), MESSAGE).groupBy("to").applyInArrow(lambda t: meet(t, lay), MESSAGE)
         met = written(met, "met")
@@ -488,5 +489,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.unionByName(rest)
 
 
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each component of near duplicates the document with the smallest id, in the columns of docs.
+
+    Rows that share an id are one document: the least by its other columns stays. Rows without an id all stay.
+    """
+    found = near_duplicates(docs)
+    lost = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("_repeated"))
+    kept = docs.join(lost, "doc_id", "left_anti").join(repeated, "doc_id", "left")
+    others = [c for c in docs.columns if c != "doc_id"]
+    once = kept.where(F.col("_repeated").isNull()).select(*docs.columns)
+    least = kept.where(F.col("_repeated")).groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_least")).select("doc_id", "_least.*").select(*docs.columns)
+    return once.unionByName(least)
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))

@@ -21,7 +21,7 @@ class WordIds:
     encode takes a list of words as strings and gives a list of id lists.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
         self.encode, self.most = encode, most
         self.known: dict[bytes, int] = {}
         self._forget()
@@ -75,7 +75,7 @@ def bpe_words(path: str, prefix: str = "") -> WordIds:
         tokenizer = Tokenizer.from_file(path)
 
         def encode(words: list[str]) -> list[list[int]]:
-            return [x.ids for x in tokenizer.encode_batch([prefix + w for w in words], add_special_tokens=False)]
+            return [x.ids for x in tokenizer.encode_batch_fast([prefix + w for w in words], add_special_tokens=False)]
 
         _LOADED[key] = WordIds(encode)
     return _LOADED[key]

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from meterline.plans import archives, ledgers, usage
+
+QUERIES: dict = {**usage.QUERIES, **ledgers.QUERIES, **archives.QUERIES}
+ORACLE_SQL: dict[str, str] = {**usage.ORACLE_SQL, **ledgers.ORACLE_SQL, **archives.ORACLE_SQL}

@@ -187,6 +187,15 @@ class Block:
         self.elements = np.concatenate([np.zeros(0, U), *self.sets])
         self.set_of = np.repeat(np.arange(len(self.sets)), self.set_sizes)
 
+    def sketches(self) -> np.ndarray:
+        """By set: for each of SKETCH_BITS shares of the universe whether it holds an odd number of elements.
+
+        Sketches of two sets differ in at most as many bits as the sets differ in elements.
+        """
+        share = self.set_of * SKETCH_BITS + (blocks.mixed(self.elements ^ U(0x8EBC6AF09C88C6E3)) % U(SKETCH_BITS)).astype(np.int64)
+        odd = np.bincount(share, minlength=len(self.sets) * SKETCH_BITS) & 1
+        return np.packbits(odd.astype(np.uint8)).view(U).reshape(len(self.sets), SKETCH_BITS // 64)
+
     def levels(self) -> list[Level]:
         return [level(self.elements, self.set_of, self.set_sizes, own) for own in (True, False)]
 
@@ -280,7 +289,8 @@ def meet(table: pa.Table, lay: blocks.Layout) -> pa.Table:
     return pa.concat_tables([passed.select(["kind", "to", "of", "x", "y"]), messages(rows)])
 
 
-ENTRY = np.dtype([("doc", "<i8"), ("label", "<i8"), ("size", "<i8"), ("asks", "<i8")])
+SKETCH_BITS = 256
+ENTRY = np.dtype([("doc", "<i8"), ("label", "<i8"), ("size", "<i4"), ("asks", "<i4"), ("sketch", "<u8", (SKETCH_BITS // 64,))])
 
 
 def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
@@ -326,13 +336,16 @@ def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
     keys = np.concatenate([k for k, _, _ in sent]) & ~U(3)
     sets = np.concatenate([s for _, s, _ in sent])
     entry = np.zeros(len(keys), ENTRY)
-    entry["doc"], entry["label"], entry["size"] = block.owners[sets], label[sets], block.set_sizes[sets]
+    entry["doc"], entry["label"], entry["size"], entry["sketch"] = block.owners[sets], label[sets], block.set_sizes[sets], block.sketches()[sets]
     entry["asks"] = np.concatenate([np.full(len(k), a) for k, _, a in sent])
     return messages([message(SENT, b, own, keys[x], entry[x]) for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets)])
 
 
-def candidates(table: pa.Table) -> pa.Table:
-    """In a bucket: pairs of a set that asks and one that is indexed, in different components, of near enough sizes."""
+def candidates(table: pa.Table, nearest_alone: bool) -> pa.Table:
+    """In a bucket: pairs of a set that asks and one that is indexed, in different components, of near enough sizes and sketches.
+
+    With nearest_alone, a set meets under each key only the set whose sketch is nearest to its own.
+    """
     keys = np.concatenate([numbers(x, U) for x in table["x"].to_pylist()])
     entry = np.concatenate([numbers(y, ENTRY) for y in table["y"].to_pylist()])
     order = np.argsort(keys, kind="stable")
@@ -349,6 +362,12 @@ def candidates(table: pa.Table) -> pa.Table:
         index, probe = part[part["asks"] == 0], part[part["asks"] == 1]
         for p in probe:
             fits = index[(index["label"] != p["label"]) & (index["size"] <= p["size"]) & (4 * index["size"] >= 3 * p["size"])]
+            apart = np.bitwise_count(fits["sketch"] ^ p["sketch"]).sum(axis=1)
+            near = apart <= (fits["size"] + p["size"]) // 7
+            fits, apart = fits[near], apart[near]
+            if nearest_alone and len(fits) > 1:
+                k = int(apart.argmin())
+                fits = fits[k : k + 1]
             if len(fits):
                 found.append(np.stack([np.minimum(fits["doc"], p["doc"]), np.maximum(fits["doc"], p["doc"])], 1))
     if not found:
@@ -441,9 +460,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Words are lower-cased in A-Z. Documents link when 100 * intersection >= 75 * union; component_id is the smallest
     doc_id that links reach. Sets meet in three steps: (1) all keys of all blocks are counted in buckets, and
     sets that share one of a few segments are compared with the first such set, which finds most copies in as
-    many comparisons as there are sets; (2) with the counts, sets ask for their cheapest segments, and only
-    sets of different components make pairs; (3) all pairs are verified on whole sets. Equal sets in a
-    block count as one. So a large group of copies makes neither all its pairs nor a row for each in a key's bucket at first.
+    many comparisons as there are sets; (2) with the counts, sets ask for their cheapest segments and meet the nearest
+    set of another component under each; (3) with the components that this makes, sets ask again and meet all that
+    are still apart. Sketches that differ in more bits than linked sets can leave a pair out of (2) and (3). All
+    pairs are verified on whole sets. Equal sets in a block count as one. So a large group of copies makes neither all its pairs nor a row for each in a key's bucket at first.
 
     Null texts and texts without words have no shingles and no links; fewer than five words are one
     shingle. Rows that share a doc_id are one document in links, each with its own n_shingles. Rows
@@ -459,7 +479,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         inside = as_rows(met.where(F.col("kind") == LINKS), "a long, b long")
         first = as_rows(met.where(F.col("kind") == PAIRS), "a long, b long").distinct()
         links = written(inside.unionByName(verified(first, packed, lay)), "links")
-        labels = with_blocks(components(links), lay, "id long, label long, block long, label_block long")
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -469,11 +488,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     if len(x):
                         yield messages([message(LABELS, int(to[x[0]]), -1, batch.column("id").to_numpy()[x], batch.column("label").to_numpy()[x])]).to_batches()[0]
 
-        told = met.where(F.col("kind") == COUNTS).unionByName(labels.mapInArrow(gather, MESSAGE))
-        asked = packed.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(lambda a, b: ask(a, b, lay), MESSAGE)
-        pairs = as_rows(asked.groupBy("to").applyInArrow(candidates, MESSAGE), "a long, b long").distinct()
-        all_links = links.unionByName(written(verified(pairs, packed, lay), "links"))
-        labels = components(all_links)
+        def pairs_apart(labels: DataFrame, nearest_alone: bool) -> DataFrame:
+            placed = with_blocks(labels, lay, "id long, label long, block long, label_block long")
+            told = met.where(F.col("kind") == COUNTS).unionByName(placed.mapInArrow(gather, MESSAGE))
+            asked = packed.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(lambda a, b: ask(a, b, lay), MESSAGE)
+            return as_rows(asked.groupBy("to").applyInArrow(lambda t: candidates(t, nearest_alone), MESSAGE), "a long, b long").distinct()
+
+        labels = components(links)
+        nearest = written(pairs_apart(labels, True), "nearest")
+        more = written(verified(nearest, packed, lay), "links")
+        labels = components(links.unionByName(more))
+        rest = written(pairs_apart(labels, False).join(nearest, ["a", "b"], "left_anti"), "rest")
+        last = written(verified(rest, packed, lay), "links")
+        labels = components(links.unionByName(more).unionByName(last))
     finally:
         packed.unpersist()
     with_id = as_rows(met.where((F.col("kind") == DOCS) & (F.col("of") >= 0)), "doc_id long, n_shingles long")

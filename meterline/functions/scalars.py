@@ -57,7 +57,7 @@ def applied_tier(tier: Column) -> Column:
 
 def slug(model: Column) -> Column:
     """What follows the last slash, in lower case."""
-    return F.regexp_replace(F.lower(model), "^.*/", "")
+    return F.substring_index(F.lower(model), "/", -1)
 
 
 def status_of(failed: Column, code: Column) -> Column:

@@ -6,7 +6,7 @@ Money is exact. Prices per million tokens become whole ten-millionths, multiplie
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.scalars import applied_tier, blank_to_null, plain, slug
@@ -50,17 +50,20 @@ def select_prices(usage: DataFrame, prices: DataFrame, context: DataFrame, servi
     """
     billing = F.coalesce(blank_to_null(F.col("resolved_model")), blank_to_null(F.col("model")), F.lit("-"))
     base = prices.select("model", F.struct(*_book(prices, "model", "source")).alias("_price"))
-    tiers = context.groupBy("model").agg(F.collect_list(F.struct(*_book(context, "threshold_tokens"))).alias("_tiers"))
+    reach = F.lead("threshold_tokens").over(Window.partitionBy("model").orderBy("threshold_tokens"))
+    tiers = context.select(F.col("model").alias("pricing_model"), F.col("threshold_tokens").alias("_above"), reach.alias("_upto"), F.struct(*_book(context, "threshold_tokens")).alias("_context"))
+    tiered = context.select(F.col("model").alias("pricing_model"), F.lit(True).alias("_tiered")).distinct()
     names = service.withColumn("_name", F.explode(F.array_distinct(F.array("mode", "service_tier"))))
     names = names.groupBy("model", "_name").agg(F.min_by(F.struct(*_book(service, "mode", "service_tier")), F.struct("mode", "service_tier")).alias("_service"))
     events = usage.withColumn("billing_model", billing).withColumn("_asked", plain(F.col("service_tier")))
     events = events.join(base.select(F.col("model").alias("billing_model"), F.col("_price").alias("_billed")), "billing_model", "left")
     events = events.join(base.select("model", F.col("_price").alias("_listed")), "model", "left")
     events = events.withColumn("_base", F.coalesce("_billed", "_listed")).withColumn("pricing_model", F.coalesce("_base.model", "billing_model"))
-    events = events.join(tiers.withColumnRenamed("model", "pricing_model"), "pricing_model", "left")
+    total = F.col("normalized_total_input_tokens")
+    within = (F.col("e.pricing_model") == F.col("t.pricing_model")) & (total > F.col("t._above")) & (F.col("t._upto").isNull() | (total <= F.col("t._upto")))
+    events = events.alias("e").join(tiers.alias("t"), within, "left").select("e.*", "t._context").join(tiered, "pricing_model", "left")
     events = events.join(names.select(F.col("model").alias("pricing_model"), F.col("_name").alias("_asked"), "_service"), ["pricing_model", "_asked"], "left")
-    below = F.filter("_tiers", lambda t: t["threshold_tokens"] < F.col("normalized_total_input_tokens"))
-    return events.withColumn("_context", F.array_max(below)).drop("_billed", "_listed")
+    return events.drop("_billed", "_listed")
 
 
 def rate(usage: DataFrame, prices: DataFrame, context: DataFrame, service: DataFrame) -> DataFrame:
@@ -69,7 +72,7 @@ def rate(usage: DataFrame, prices: DataFrame, context: DataFrame, service: DataF
     asked, total = F.col("_asked"), F.col("normalized_total_input_tokens")
     name = slug(F.col("billing_model"))
     by_context = F.col("_context").isNotNull()
-    long = F.coalesce(F.col("_tiers").isNull() & (total > LONG_CONTEXT_TOKENS) & _named(name, LONG_CONTEXT_SLUGS, LONG_CONTEXT_PREFIXES), F.lit(False))
+    long = F.coalesce(F.col("_tiered").isNull() & (total > LONG_CONTEXT_TOKENS) & _named(name, LONG_CONTEXT_SLUGS, LONG_CONTEXT_PREFIXES), F.lit(False))
     hurry = asked.isin("priority", "fast")
     by_service = F.col("_service").isNotNull() & ~by_context
     rows = rows.withColumns({"_by_context": by_context, "_long": long, "_hurry": hurry, "_by_service": by_service})

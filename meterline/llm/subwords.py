@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Callable, Iterable
 from itertools import chain
@@ -18,10 +19,10 @@ def vocabulary_path(name: str) -> str:
 class WordIds:
     """Remembers the ids of words, so that each word is encoded once until `most` are known.
 
-    encode takes a list of words as strings and gives a list of id lists.
+    encode takes a list of words as strings and gives all their ids in a row, and how many ids each word has.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
         self.known: dict[bytes, int] = {}
         self._forget()
@@ -34,12 +35,11 @@ class WordIds:
         new = [w for w in words if w not in self.known]
         if not new:
             return
-        ids = self.encode([w.decode() for w in new])
+        flat, size = self.encode([w.decode() for w in new])
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, flat])
 
     def by_word(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all words of all texts in a row, how many ids each word has, and how many words each text."""
@@ -63,22 +63,57 @@ class WordIds:
 _LOADED: dict[str, WordIds] = {}
 
 
-def bpe_words(path: str, prefix: str = "") -> WordIds:
-    """Ids by a `tokenizers` file, words alone or each after prefix; kept for the life of a Python worker.
+def bpe_words(path: str) -> WordIds:
+    """Ids by a `tokenizers` file, words alone; kept for the life of a Python worker.
 
     Right for tokenizers whose pieces never reach over the six word breaks, as both BPE files here.
     """
-    if (key := f"{path}\0{prefix}") not in _LOADED:
+    if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
 
-        def encode(words: list[str]) -> list[list[int]]:
-            return [x.ids for x in tokenizer.encode_batch_fast([prefix + w for w in words], add_special_tokens=False)]
+        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 
-        _LOADED[key] = WordIds(encode)
-    return _LOADED[key]
+        _LOADED[path] = WordIds(encode)
+    return _LOADED[path]
+
+
+def ranks_of(path: str) -> dict[bytes, int]:
+    """The pieces of a `tiktoken` file with their ids."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+
+
+def rank_words(path: str) -> WordIds:
+    """Ids by a `tiktoken` file, each word after a space; kept for the life of a Python worker.
+
+    Special tokens in a text are ordinary text.
+    """
+    if path not in _LOADED:
+        import public_tokenizers
+        import tiktoken
+
+        one = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={}).encode_ordinary
+
+        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [one(" " + w) for w in words]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
+
+        _LOADED[path] = WordIds(encode)
+    return _LOADED[path]
+
+
+def begins_word(ranks: dict[bytes, int]) -> np.ndarray:
+    """For each id up to one beyond the last, whether its piece begins with a space."""
+    out = np.zeros(max(ranks.values()) + 2, bool)
+    out[[k for piece, k in ranks.items() if piece.startswith(b" ")]] = True
+    return out
 
 
 def some_rows(texts: Iterable, most_bytes: int = 4 << 20):

@@ -41,13 +41,33 @@ def test_ids_and_empty_table(spark):
 
 def test_encoder_forgets_and_learns_again():
     calls = []
-    encode = subwords.WordIds(lambda words: calls.append(len(words)) or [[len(w), 7] for w in words], most=2)
+
+    def ids_of(words):
+        calls.append(len(words))
+        return np.array([k for w in words for k in (len(w), 7)]), np.full(len(words), 2)
+
+    encode = subwords.WordIds(ids_of, most=2)
     for _ in range(3):
         ids, sizes = encode([[b"a", b"bb"], [], [b"ccc"]])
         assert ids.tolist() == [1, 7, 2, 7, 3, 7] and sizes.tolist() == [4, 0, 2]
     assert calls == [3, 3, 3]
 
 
+def test_ranks_give_the_ids_of_the_vocabulary(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(subwords.vocabulary_path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    path = subwords.vocabulary_path("byte_bpe_50k.tiktoken")
+    words = [w.decode() for r in documents(spark).collect() for w in (r.text or "").encode().split()][:5000]
+    words += ["\u00a0a\u00a0", "\u2028", "<|endoftext|>", "isn't", "12ab", "x" * 5000]
+    ids, sizes = subwords.rank_words(path)([[w.encode()] for w in words])
+    want = [e.ids for e in tokenizer.encode_batch([" " + w for w in words], add_special_tokens=False)]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [k for x in want for k in x]
+    begins = subwords.begins_word(subwords.ranks_of(path))
+    assert len(begins) == 50257 and all((tokenizer.id_to_token(k) or "").startswith("Ġ") == begins[k] for k in range(50257))
+
+
 def viterbi(word, scores):
     best = [(0.0, 0)] + [None] * len(word)
     for end in range(1, len(word) + 1):

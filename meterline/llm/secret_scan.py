@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 from meterline.llm.tables import read
 
-RULES_VERSION = "2"
+RULES_VERSION = "3"
 #: kind, pattern, group whose length counts, fewest characters of it. The first three are the base kinds.
 #: Runs of one class of signs are matched with their least length in the pattern: shorter runs can't hold a match.
+#: A private key runs to its END, or, where that is missing, to the end of its base64 lines; between them may stand breaks (also
+#: escaped), signs of quoting, and headers. A last line may be short. All repeats but {0,40} give nothing back, so no text is slow.
+_BEGIN, _END = (rf"-----{x} [A-Z ]{{0,40}}PRIVATE KEY-----" for x in ("BEGIN", "END"))
+_GAP = r"""(?:[\s"',>|#*]|\\[nrt]|\+(?=\s))"""
+_HEADERS = rf"""(?:{_GAP}++(?:Proc-Type|DEK-Info):\x20?[^\s\\"']++)*+"""
+_LAST = rf"""(?:{_GAP}++[A-Za-z0-9+/]++(?:={{1,2}}+|(?=["',]*+[\x20\t]*+(?:\\[nr]|(?![^\r\n])))))?+"""
+_LINES = rf"(?:(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++{_LAST})?+"
 RULES = [
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("private_key", rf"{_BEGIN}(?:(?:[^-]++|-{{1,4}}+(?!-))*+{_END}|{_HEADERS}{_LINES})", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
     ("vendor", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})", 0, 1),
 ]

@@ -143,3 +143,24 @@ def test_mixing_deviates_less_than_one_block(spark, tables):
     edge = documents(spark)
     assert mixing.mix(edge, shares, others).count() == edge.count()
     assert mixing.mix(empty(edge), shares, others).count() == 0
+
+
+def test_private_keys_go_with_their_bodies(spark):
+    body = [("MIIEpAIBAAKCAQEA7bq+/" * 4)[k : k + 64] for k in range(20)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    long = "\n".join(body * 500)
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D\n\n"
+    cases = [
+        (f"a\n{begin}\n{long}\nQ7x=\n{end}\nz", "a\n[SECRET]\nz"),
+        (f"a {begin} {' '.join(body)} Q7x= {end} z", "a [SECRET] z"),
+        ("k: " + "\\n".join([begin, *body, "Q7x=", end]) + "\\n z", "k: [SECRET]\\n z"),
+        (f"{begin}\n{head}{long}\nQ7x=\n{end} z", "[SECRET] z"),
+        (f"a\n{begin}\n{head}{long}\nQ7x\n\nSome words stay.", "a\n[SECRET]\n\nSome words stay."),
+        (f"a\r\n{begin}\r\n> {body[0]}\r\n> Q7x=\r\nz z", "a\r\n[SECRET]\r\nz z"),
+        (f"{begin}\n{body[0]}\nThese words stay.\n{begin}\n{body[1]}\n{end}.", "[SECRET]\nThese words stay.\n[SECRET]."),
+        (f"A line {begin} begins a key.", "A line [SECRET] begins a key."),
+    ]
+    rows = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact_documents(rows).collect()}
+    for k, (_, want) in enumerate(cases):
+        assert got[k] == want, (k, got[k][:300])

@@ -10,10 +10,13 @@ from meterline.llm.tables import read, words_of
 BREAK = r"[\x20\x09-\x0D]"
 #: Signs that close a sentence, perhaps before a closing quote or bracket.
 CLOSED = r"[.!?:;…][\"'»”’)\]]{0,3}$"
+SYMBOL = r"[#*$%&<>]"
 BOILERPLATE = [
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie", "javascript", "lorem ipsum",
     "sign up", "log in to", "licensed under", "released under", "public license",
 ]
+#: A line of so many words or more is prose, whatever phrase it holds.
+PROSE_WORDS = 20
 WINDOW = 8
 
 
@@ -32,16 +35,23 @@ def has_boilerplate(text):
     return found
 
 
+def may_fail_by_symbols(text):
+    """Whether some line holds two symbols, or one among few characters: no other line can hold too many."""
+    gap, char = r"[\x20\x09\x0B-\x0D]*", r"(?:[^\x20\x09-\x0D][\x20\x09\x0B-\x0D]*){0,2}"
+    return text.rlike(SYMBOL) & (text.rlike(f"{SYMBOL}[^\n]*{SYMBOL}") | text.rlike(f"(?:^|\n){gap}{char}{SYMBOL}{gap}{char}(?:\n|$)"))
+
+
 def line_fails(line, boilerplate, symbols, fewest_words: int = 10):
-    """Whether a line is removed: navigation, symbols, capitals alone, no closing sign on a short line, or boilerplate.
+    """Whether a line is removed: navigation, symbols, capitals alone, no closing sign on a short line, or boilerplate
+    on a line that is short enough to be nothing else.
 
     boilerplate and symbols say for the whole text whether looking for them in its lines is worth while.
     """
     navigation = line.rlike(r"[|»›•].*[|»›•].*[|»›•]")
     unclosed = ~F.substring(F.rtrim(line), -4, 4).rlike(CLOSED) & (F.size(words_of(line)) < fewest_words)
     shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}") & (F.size(words_of(line)) >= 5)
-    full_of_symbols = symbols & (F.regexp_count(line, F.lit(r"[#*$%&<>]")) * 4 > word_chars(line))
-    return unclosed | shouting | navigation | full_of_symbols | (boilerplate & has_boilerplate(line))
+    full_of_symbols = symbols & (F.regexp_count(line, F.lit(SYMBOL)) * 4 > word_chars(line))
+    return unclosed | shouting | navigation | full_of_symbols | (boilerplate & has_boilerplate(line) & (F.size(words_of(line)) < PROSE_WORDS))
 
 
 def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
@@ -51,7 +61,7 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
     stays null, counts as empty and is not kept; so is a text without words.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    marked = docs.withColumn("_boilerplate", has_boilerplate(text)).withColumn("_symbols", text.rlike(r"[#*$%&<>].*[#*$%&<>]"))
+    marked = docs.withColumn("_boilerplate", has_boilerplate(text)).withColumn("_symbols", may_fail_by_symbols(text))
     marked = marked.withColumn("_lines", F.split(text, "\n", -1))
     usual = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.lit(False), F.lit(False)))
     odd = F.filter("_lines", lambda line: ~has_word(line) | ~line_fails(line, F.col("_boilerplate"), F.col("_symbols")))

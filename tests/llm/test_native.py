@@ -164,3 +164,12 @@ def test_private_keys_go_with_their_bodies(spark):
     got = {r.doc_id: r.text for r in secret_scan.redact_documents(rows).collect()}
     for k, (_, want) in enumerate(cases):
         assert got[k] == want, (k, got[k][:300])
+
+
+def test_long_lines_may_name_boilerplate(spark):
+    prose = "A clean text of one line may well say that the site sets a cookie, or that a book was released under its old name."
+    cases = [(prose, prose), (f"{prose}\nWe use cookies.", prose), (f"{prose}\nIt $5.\n$5.", f"{prose}\nIt $5."), (f"{prose}\n$.", prose), (f"{prose}\nab#\r#c.\n", f"{prose}\n"), (f"$ a\u00e9\n{prose}", prose)]
+    rows = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.clean_lines(rows).collect()}
+    for k, (_, want) in enumerate(cases):
+        assert (got[k].cleaned, got[k].kept) == (want, True)

@@ -31,8 +31,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts documents into sequences whose lengths are powers of two."""
-    return packing.pack_documents(docs, subwords.vocabulary_path("word_bpe_49k.json"))
+    """Cuts documents into sequences whose lengths are powers of two, numbered in the mixed order.
+
+    Files read again are dealt to partitions by size, so the order is worked out anew: it follows from the documents alone.
+    """
+    return packing.pack_documents(mix_sources(spark, docs, sf_dir), subwords.vocabulary_path("word_bpe_49k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -29,7 +29,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, longest: int = LONGEST, end
 
     A document's ids and end_id are cut into lengths that are powers of two, up to longest. Each piece is a
     sequence of its own, so none crosses documents and none is padded; bucket is its length, and a batch takes
-    sequences of one bucket. Rows are dealt with where they are read; nothing is shuffled.
+    sequences of one bucket. Rows are dealt with where they are read; nothing is shuffled, and sequence_id rises in the order of docs.
 
     A null or empty text gives end_id alone. Repeated rows and ids, null ids too, are packed once for each row
     (sequence_id differs). Other columns are ignored; an empty table gives no rows.

@@ -78,3 +78,23 @@ def test_mixed_files_follow_the_order(spark, sf_dir):
     order = {r.doc_id: (r.slot, r.place) for r in mixing.mix(docs, mixing.PRODUCTION_SHARES, mixing.OTHERS_SHARE).collect()}
     got = [order[r.doc_id] for r in corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()]
     assert got == sorted(got) and len(got) == len(order)
+
+
+def test_sequences_follow_the_mixed_order(spark, tmp_path):
+    from meterline.llm import mixing
+
+    held = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "1k"}
+    docs = spark.range(600).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), CAST(1 + id % 7 * (id % 7) * 40 AS int)) AS text", "concat('src', IF(id < 400, 0, id % 5)) AS source")
+    order = [r.doc_id for r in mixing.mix(docs, mixing.PRODUCTION_SHARES, mixing.OTHERS_SHARE).orderBy("slot", "place").collect()]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for k in range(4):
+            corpus_pipeline.mix_sources(spark, docs, "").where(f"doc_id % 7 = {k} OR (doc_id % 7 > 3 AND {k} = 3)").coalesce(1).write.mode("append").parquet(f"{tmp_path}/mixed")
+        again = spark.read.schema(docs.schema).parquet(f"{tmp_path}/mixed")
+        rows = corpus_pipeline.pack_sequences(spark, again, "").orderBy("sequence_id").collect()
+    finally:
+        for k in held:
+            spark.conf.unset(k)
+    assert list(dict.fromkeys(r.doc_id for r in rows)) == order
+    assert len({r.sequence_id for r in rows}) == len(rows)

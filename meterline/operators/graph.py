@@ -47,20 +47,21 @@ def broken_nodes(nodes: DataFrame) -> DataFrame:
     return both.select("node_hash", reason.alias("reason")).where("reason IS NOT NULL")
 
 
-def dialogue(leaves: DataFrame, nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
-    """(leaf_hash, length): the walk from each leaf up to its root, one join a step for all leaves that are still on the way."""
-    up = nodes.select("node_hash", "parent_hash").distinct()
-    at = leaves.select(F.col("node_hash").alias("leaf_hash"), F.col("node_hash").alias("_at")).distinct()
-    done = None
-    for step in range(1, max_depth + 1):
-        moved = at.join(up.withColumnRenamed("node_hash", "_at"), "_at").select("leaf_hash", F.col("parent_hash").alias("_at"))
-        moved = moved.checkpoint()
-        ended = moved.where("_at IS NULL").select("leaf_hash", F.lit(step).cast("long").alias("length"))
-        done = ended if done is None else done.unionByName(ended)
-        at = moved.where("_at IS NOT NULL")
-        if at.isEmpty():
-            return done
-    raise ValueError("a conversation is deeper than max_depth")
+def dialogue(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(leaf_hash, length): the walk from each leaf up to its root; a leaf whose walk meets an absent parent has no row.
+
+    Each round doubles the step of every node that isn't at its root yet, so joins are log2 of the depth. Where nodes go in
+    a circle, steps outgrow the number of nodes, and an error is raised.
+    """
+    state = nodes.select(F.col("node_hash").alias("_of"), F.col("parent_hash").alias("_at"), F.lit(1).cast("long").alias("length")).distinct().checkpoint()
+    n_nodes, step = state.count(), 1
+    while not (open_ := state.where("_at IS NOT NULL")).isEmpty():
+        if step > n_nodes:
+            raise ValueError("nodes go in a circle")
+        there = state.select(F.col("_of").alias("_at"), F.col("_at").alias("_next"), F.col("length").alias("_more"))
+        moved = open_.join(there, "_at").select("_of", F.col("_next").alias("_at"), (F.col("length") + F.col("_more")).alias("length"))
+        state, step = state.where("_at IS NULL").unionByName(moved).checkpoint(), 2 * step
+    return leaves.select(F.col("node_hash").alias("leaf_hash")).distinct().join(state.select(F.col("_of").alias("leaf_hash"), "length"), "leaf_hash")
 
 
 def foreign_edges(edges: DataFrame, observations: DataFrame) -> DataFrame:

@@ -58,12 +58,14 @@ def packed(table: pa.Table) -> bytes:
 
 
 def chunks(docs: DataFrame, lay: Layout) -> DataFrame:
-    """(block, payload): compressed runs of (doc_id, text). Rows without doc_id go to block 0."""
+    """(block, payload): compressed runs of (doc_id, text). Rows without doc_id are dealt to all blocks in turn."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            block = lay.block_of(table["doc_id"].fill_null(-(2**63)).to_numpy())
+            block = lay.block_of(table["doc_id"].fill_null(0).to_numpy())
+            bare = np.flatnonzero(table["doc_id"].is_null().to_numpy())
+            block[bare] = bare % lay.n_blocks
             order = np.argsort(block, kind="stable")
             cut = np.flatnonzero(np.diff(block[order])) + 1
             parts = [x for x in np.split(order, cut) if len(x)]

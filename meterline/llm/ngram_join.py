@@ -25,7 +25,7 @@ from meterline.llm.tables import read, written
 WIDTH = 5
 MESSAGE = "kind int, to long, of long, x binary, y binary"
 #: Kinds of messages.
-KEYS, FIRST, DOCS, LINKS, PAIRS, COUNTS, LABELS, SENT = range(8)
+DOCS, BARE, LINKS, PAIRS, KEYS, COUNTS, LABELS, SENT = range(8)
 #: The low two bits of a key: a filled segment; what only waits to be asked for; what asks.
 SEGMENT, WAITS, ASKS = range(3)
 FIRST_SEGMENTS = 8
@@ -187,17 +187,22 @@ class Block:
         self.elements = np.concatenate([np.zeros(0, U), *self.sets])
         self.set_of = np.repeat(np.arange(len(self.sets)), self.set_sizes)
 
-    def sketches(self) -> np.ndarray:
-        """By set: for each of SKETCH_BITS shares of the universe whether it holds an odd number of elements.
+    def sketches(self, own: bool) -> tuple[np.ndarray, np.ndarray]:
+        """By set the words of its sketch, and all sketches in a row: for each of two shares of the universe an element
+        whether it holds an odd number of elements.
 
-        Sketches of two sets differ in at most as many bits as the sets differ in elements.
+        The width is that of the own band, or of the band below. Sketches of two sets differ in at most as many bits as the sets
+        differ in elements.
         """
-        share = self.set_of * SKETCH_BITS + (blocks.mixed(self.elements ^ U(0x8EBC6AF09C88C6E3)) % U(SKETCH_BITS)).astype(np.int64)
-        odd = np.bincount(share, minlength=len(self.sets) * SKETCH_BITS) & 1
-        return np.packbits(odd.astype(np.uint8)).view(U).reshape(len(self.sets), SKETCH_BITS // 64)
+        bands = Bands(int(self.set_sizes.max(initial=1)))
+        words = -(-2 * bands.high[np.maximum(bands.of(self.set_sizes) - (not own), 0)] // 64)
+        begin = np.cumsum(words) - words
+        share = blocks.mixed(self.elements ^ U(0x8EBC6AF09C88C6E3)) % (64 * words[self.set_of]).astype(U)
+        odd = np.bincount(64 * begin[self.set_of] + share.astype(np.int64), minlength=64 * int(words.sum())) & 1
+        return words, np.packbits(odd.astype(np.uint8)).view(U)
 
-    def levels(self) -> list[Level]:
-        return [level(self.elements, self.set_of, self.set_sizes, own) for own in (True, False)]
+    def level(self, own: bool) -> Level:
+        return level(self.elements, self.set_of, self.set_sizes, own)
 
 
 class Joined:
@@ -223,16 +228,106 @@ def same_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
-def announce(table: pa.Table, lay: blocks.Layout) -> pa.Table:
-    """From a block: its documents, links inside it, all keys to their buckets, and a few keys with documents."""
+SENT_SCHEMA = "to long, keys binary, at binary, asks binary, docs binary, labels binary, sizes binary, words binary, sketches binary"
+#: A key's sets look for their nearest among so many at a time before all sets that are still apart meet.
+NEAR = 512
+
+
+def sent(lay: blocks.Layout, keys: np.ndarray, entry: np.ndarray, asks: np.ndarray, docs: np.ndarray, labels: np.ndarray, sizes: np.ndarray, words: np.ndarray, sketches: np.ndarray) -> pa.Table:
+    """Keys to their buckets; what a bucket must know of a set (an entry) goes there once, however many keys bring it."""
+    begin = np.cumsum(words) - words
+    rows = []
+    for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets):
+        own, at = np.unique(entry[x], return_inverse=True)
+        sketch = sketches[ranges(begin[own], words[own])]
+        values = keys[x], at.astype(np.int32), asks[x].astype(np.int8), docs[own], labels[own], sizes[own].astype(np.int32), words[own].astype(np.int32), sketch
+        rows.append((b, *(v.tobytes() for v in values)))
+    names = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(names)
+    return pa.table([pa.array(c, pa.int64() if n == "to" else pa.binary()) for c, n in zip(columns, names)], names=names)
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... of each range, in a row."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class Bucket:
+    """All keys of a bucket, and the sets that bring them."""
+
+    def __init__(self, table: pa.Table):
+        def joined(name: str, kind) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *(numbers(v, kind) for v in table[name].to_pylist())])
+
+        sizes = [len(v) // 8 for v in table["docs"].to_pylist()]
+        shift = np.repeat(np.cumsum(sizes) - sizes, [len(v) // 8 for v in table["keys"].to_pylist()])
+        self.keys, self.entry, self.asks = joined("keys", U), joined("at", np.int32) + shift, joined("asks", np.int8)
+        self.docs, self.labels, self.sizes = joined("docs", np.int64), joined("labels", np.int64), joined("sizes", np.int32).astype(np.int64)
+        self.words, self.sketches = joined("words", np.int32).astype(np.int64), joined("sketches", U)
+        self.begin = np.cumsum(self.words) - self.words
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the sketches of entries differ; sketches of different widths are never near."""
+        out = np.full(len(a), 1 << 40, np.int64)
+        equal = self.words[a] == self.words[b]
+        for w in np.unique(self.words[a[equal]]).tolist():
+            rows = np.flatnonzero(equal & (self.words[a] == w))
+            for x in np.split(rows, range(max(1, (1 << 20) // w), len(rows), max(1, (1 << 20) // w))):
+                places = np.arange(w)
+                differ = self.sketches[self.begin[a[x], None] + places] ^ self.sketches[self.begin[b[x], None] + places]
+                out[x] = np.bitwise_count(differ).sum(axis=1)
+        return out
+
+    def meetings(self, probe: np.ndarray, index: np.ndarray, keys: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Entries (asking, indexed) under one key, with different labels, whose sizes and sketches let them link.
+
+        probe and index are places in keys. All that one place asks comes in one batch.
+        """
+        if not (len(probe) and len(index)):
+            return
+        known, run = np.unique(keys[index], return_inverse=True)
+        names, name = np.unique(self.labels[self.entry[index]], return_inverse=True)
+        code = run * len(names) + name
+        order = np.argsort(code, kind="stable")
+        code, index = code[order], index[order]
+        probe = probe[np.isin(keys[probe], known)]
+        base = np.searchsorted(known, keys[probe]) * len(names)
+        own = self.labels[self.entry[probe]]
+        place = np.searchsorted(names, own)
+        there = names[np.minimum(place, len(names) - 1)] == own
+        cut = [np.searchsorted(code, c) for c in (base, base + place, base + place + there, base + len(names))]
+        n = cut[1] - cut[0] + cut[3] - cut[2]
+        probe, cut, n = probe[n > 0], [c[n > 0] for c in cut], n[n > 0]
+        first = 0
+        while first < len(probe):
+            last = max(first + 1, int(np.searchsorted(np.cumsum(n[first:]), most)) + first)
+            part = slice(first, last)
+            begin = np.stack([cut[0][part], cut[2][part]], 1).ravel()
+            size = np.stack([cut[1][part] - cut[0][part], cut[3][part] - cut[2][part]], 1).ravel()
+            a, b = np.repeat(self.entry[probe[part]], n[part]), self.entry[index[ranges(begin, size)]]
+            small, large = np.minimum(self.sizes[a], self.sizes[b]), np.maximum(self.sizes[a], self.sizes[b])
+            fits = (4 * small >= 3 * large) & (self.words[a] == self.words[b])
+            a, b = a[fits], b[fits]
+            near = self.apart(a, b) <= (self.sizes[a] + self.sizes[b]) // 7
+            yield a[near], b[near]
+            first = last
+
+    def pairs(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        a, b = (self.docs[np.concatenate([np.zeros(0, np.int64), *x])] for x in (zip(*found) if found else ((), ())))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pairs[pairs[:, 0] != pairs[:, 1]]
+
+
+def announce_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
+    """From a block: its documents, links inside it, and a few keys of one set of each group of linked ones."""
     own = table["block"][0].as_py()
     block = Block(table["payload"])
-    rest = lay.n_buckets + own % lay.n_buckets
-    rows = [message(DOCS, rest, own, block.ids[block.valid], block.sizes[block.valid]), message(DOCS, rest, -1, b"", block.sizes[~block.valid])]
     links = list(block.same)
+    out = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, U)])
     if block.sets:
-        own_level, below = block.levels()
-        # copies first: sets that agree in one of a few segments are compared with the first of them
+        own_level = block.level(True)
+        # sets that agree in one of a few segments are compared with the first of them
         filled = np.flatnonzero(own_level.filled)
         rank = np.arange(len(filled)) - np.searchsorted(own_level.set_of[filled], own_level.set_of[filled])
         some = filled[rank < FIRST_SEGMENTS]
@@ -243,137 +338,167 @@ def announce(table: pa.Table, lay: blocks.Layout) -> pa.Table:
             if joined.top(a) != joined.top(b) and linked(len(block.sets[a]), len(block.sets[b]), len(np.intersect1d(block.sets[a], block.sets[b], assume_unique=True))):
                 joined.join(a, b)
                 links.append((int(block.owners[a]), int(block.owners[b])))
-        firsts = order[np.unique(begin)]
-        for b, x in blocks.by_bucket(bucket_of(keys[firsts], lay.n_buckets), lay.n_buckets):
-            rows.append(message(FIRST, b, own, keys[firsts[x]], block.owners[sets[firsts[x]]]))
-        keys = np.concatenate([keys_of(x)[0] for x in (own_level, below)])
-        for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets):
-            rows.append(message(KEYS, b, own, np.unique(keys[x])))
-    if links:
-        a, b = np.array(links, np.int64).T
-        rows.append(message(LINKS, rest, own, np.ascontiguousarray(a), np.ascontiguousarray(b)))
-    return messages(rows)
-
-
-def meet(table: pa.Table, lay: blocks.Layout) -> pa.Table:
-    """In a bucket: how many blocks have each key (as far as 255), and pairs with the first document of a key."""
-    kinds, of = table["kind"].to_numpy(), table["of"].to_numpy()
-    passed = table.filter(pa.array((kinds == DOCS) | (kinds == LINKS)))
-    rows = []
-    at = np.flatnonzero(kinds == KEYS)
+        top = np.array([joined.top(k) for k in range(len(block.sets))])
+        by_group = np.lexsort((sets, top[sets], keys))
+        first = by_group[np.concatenate([[True], (np.diff(keys[by_group]) != 0) | (np.diff(top[sets[by_group]]) != 0)])]
+        out = sent(lay, keys[first], sets[first], np.ones(len(first)), block.owners, block.owners[top], block.set_sizes, *block.sketches(True))
+    a, b = np.array(links, np.int64).reshape(-1, 2).T
+    valid = block.valid
+    rows = [(DOCS, block.ids[valid].tobytes(), block.sizes[valid].tobytes()), (BARE, b"", block.sizes[~valid].tobytes()), (LINKS, np.ascontiguousarray(a).tobytes(), np.ascontiguousarray(b).tobytes())]
+    told = pa.table({"to": pa.array([lay.n_buckets + 4 * own + k for k, _, _ in rows], pa.int64()), "keys": pa.array([x for _, x, _ in rows], pa.binary()), "at": pa.array([y for _, _, y in rows], pa.binary())})
+    return pa.concat_tables([out, told], promote_options="default")
+
+
+def meet_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
+    """In a bucket: each set with the first and with the nearest set under each of its keys. What blocks say of themselves passes."""
     bucket = table["to"][0].as_py()
-    if len(at):
-        parts = [numbers(table["x"][int(k)].as_py(), U) for k in at]
-        keys = np.concatenate(parts)
-        base, tag = keys >> U(2), (keys & U(3)).astype(np.int64)
-        order, begin = same_key(base)
-        group = np.zeros(len(keys), np.int64)
-        group[order] = np.cumsum(np.concatenate([[True], np.diff(begin) != 0])[: len(keys)]) - 1
-        n_groups = int(group.max(initial=-1)) + 1
-        have = [np.bincount(group[tag == t], minlength=n_groups) for t in range(3)]
-        answer = np.select([tag == SEGMENT, tag == WAITS], [have[SEGMENT][group], 255 * (have[ASKS][group] > 0)], have[WAITS][group] + 1)
-        answer = np.minimum(answer, 255).astype(np.uint8)
-        for k, part in zip(at, np.split(answer, np.cumsum([len(p) for p in parts])[:-1])):
-            rows.append(message(COUNTS, int(of[k]), bucket, part))
-    at = np.flatnonzero(kinds == FIRST)
-    if len(at):
-        keys = np.concatenate([numbers(table["x"][int(k)].as_py(), U) for k in at])
-        docs = np.concatenate([numbers(table["y"][int(k)].as_py()) for k in at])
-        by_id = np.argsort(docs, kind="stable")
-        keys, docs = keys[by_id], docs[by_id]
-        order, begin = same_key(keys)
-        pairs = np.unique(np.stack([docs[order[begin]], docs[order]], 1), axis=0)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        if len(pairs):
-            rows.append(message(PAIRS, -1, bucket, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])))
-    return pa.concat_tables([passed.select(["kind", "to", "of", "x", "y"]), messages(rows)])
-
-
-SKETCH_BITS = 256
-ENTRY = np.dtype([("doc", "<i8"), ("label", "<i8"), ("size", "<i4"), ("asks", "<i4"), ("sketch", "<u8", (SKETCH_BITS // 64,))])
+    if bucket >= lay.n_buckets:
+        return messages([((bucket - lay.n_buckets) % 4, -1, -1, x, y) for x, y in zip(table["keys"].to_pylist(), table["at"].to_pylist())])
+    it = Bucket(table)
+    docs = it.docs[it.entry]
+    order = np.lexsort((docs, it.keys))
+    new = np.concatenate([[True], np.diff(it.keys[order]) != 0])[: len(order)]
+    begin = np.flatnonzero(new)[np.cumsum(new) - 1]
+    found = [(it.entry[order[begin]], it.entry[order])]
+    # a long run is cut into shares by document
+    n = np.bincount(begin, minlength=len(order))[begin]
+    share = (blocks.mixed(docs[order].astype(U)) % (-(-n // NEAR)).astype(U)).astype(U)
+    keys = blocks.mixed(it.keys[order] + share * U(0x9E3779B97F4A7C15))
+    place = np.arange(len(order))
+    within = Bucket.__new__(Bucket)
+    within.__dict__.update(it.__dict__, entry=it.entry[order])
+    for a, b in within.meetings(place, place, keys):
+        if len(a):
+            by = np.lexsort((it.docs[b], it.apart(a, b), a))
+            by = by[np.concatenate([[True], np.diff(a[by]) != 0])]
+            found.append((a[by], b[by]))
+    pairs = it.pairs(found)
+    return messages([message(PAIRS, -1, bucket, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
+
+
+def labels_of(block: "Block", told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The component of each set of a block as far as links are known, and whether it has any; else its own document."""
+    known = {}
+    for kind, x, y in zip(*(told[c].to_pylist() for c in ("kind", "x", "y"))):
+        if kind == LABELS:
+            known.update(zip(numbers(x).tolist(), numbers(y).tolist()))
+    return np.array([known.get(i, i) for i in block.owners.tolist()], np.int64), np.array([i in known for i in block.owners.tolist()], bool)
+
+
+class Announced:
+    """The distinct keys of a block by bucket: those of one component of several documents, and all others."""
+
+    def __init__(self, block: "Block", told: pa.Table):
+        self.label, member = labels_of(block, told)
+        self.levels = [block.level(own) for own in (True, False)]
+        parts = [keys_of(x) for x in self.levels]
+        self.sizes = [len(k) for k, _ in parts]
+        self.all_keys = np.concatenate([k for k, _ in parts])
+        self.sets = np.concatenate([s for _, s in parts])
+        self.keys, self.place, self.here = np.unique(self.all_keys, return_inverse=True, return_counts=True)
+        of = self.label[self.sets]
+        self.component = np.zeros(len(self.keys), np.int64)
+        self.component[self.place] = of
+        self.mixed = np.zeros(len(self.keys), bool)
+        np.logical_or.at(self.mixed, self.place, of != self.component[self.place])
+        self.whole = np.zeros(len(self.keys), bool)  # all its sets are of one component of several documents
+        self.whole[self.place] = member[self.sets]
+        self.whole &= ~self.mixed
+
+    def by_bucket(self, lay: blocks.Layout) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for b, x in blocks.by_bucket(bucket_of(self.keys, lay.n_buckets), lay.n_buckets):
+            yield b, x[self.whole[x]], x[~self.whole[x]]
+
+
+def announce(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
+    """From a block: all its keys to their buckets, with components where these are known."""
+    if not len(left):
+        return messages([])
+    own = left["block"][0].as_py()
+    block = Block(left["payload"])
+    if not block.sets:
+        return messages([])
+    it = Announced(block, right)
+    return messages([message(KEYS, b, own, it.keys[np.concatenate([x, y])], it.component[x]) for b, x, y in it.by_bucket(lay)])
+
+
+def meet(table: pa.Table) -> pa.Table:
+    """In a bucket: how many blocks have each key (as far as 255); one for a key that one component alone has."""
+    of = table["of"].to_pylist()
+    parts = [numbers(x, U) for x in table["x"].to_pylist()]
+    components_ = [numbers(y) for y in table["y"].to_pylist()]
+    keys = np.concatenate(parts)
+    whole = np.concatenate([np.arange(len(p)) < len(c) for p, c in zip(parts, components_)])
+    base, tag = keys >> U(2), (keys & U(3)).astype(np.int64)
+    _, group = np.unique(base, return_inverse=True)
+    n_groups = int(group.max(initial=-1)) + 1
+    have = [np.bincount(group[tag == t], minlength=n_groups) for t in range(3)]
+    low, high = np.full(n_groups, np.iinfo(np.int64).max), np.full(n_groups, np.iinfo(np.int64).min)
+    component = np.concatenate(components_)
+    np.minimum.at(low, group[whole], component)
+    np.maximum.at(high, group[whole], component)
+    one = (np.bincount(group[~whole], minlength=n_groups) == 0) & (low == high)
+    answer = np.select([tag == SEGMENT, tag == WAITS], [have[SEGMENT][group], 255 * (have[ASKS][group] > 0)], have[WAITS][group] + 1)
+    answer = np.where(one[group], np.where(tag == WAITS, 0, 1), np.minimum(answer, 255)).astype(np.uint8)
+    rows = [message(COUNTS, b, table["to"][0].as_py(), part) for b, part in zip(of, np.split(answer, np.cumsum([len(p) for p in parts])[:-1]))]
+    return messages(rows)
 
 
 def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
     """From a block that knows how common its keys are: those that sets ask for, and those that others may ask for."""
-    own = left["block"][0].as_py()
+    empty = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, U)])
+    if not len(left):
+        return empty
     block = Block(left["payload"])
     if not block.sets:
-        return messages([])
-    counts, labels = {}, {}
-    for kind, of, x, y in zip(*(right[c].to_pylist() for c in ("kind", "of", "x", "y"))):
-        if kind == COUNTS:
-            counts[of] = numbers(x, np.uint8)
-        else:
-            labels.update(zip(numbers(x).tolist(), numbers(y).tolist()))
-    label = np.array([labels.get(i, i) for i in block.owners.tolist()], np.int64)
-    levels = block.levels()
-    announced = [keys_of(x) for x in levels]
-    keys = np.concatenate([k for k, _ in announced])
-    sets = np.concatenate([s for _, s in announced])
-    cost = np.zeros(len(keys), np.int64)
-    for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets):
-        _, inverse, here = np.unique(keys[x], return_inverse=True, return_counts=True)
-        # other blocks with the key and other sets here; what waits costs where it is asked for
-        cost[x] = np.where((keys[x] & U(3)) == WAITS, counts[b][inverse] > 0, counts[b][inverse] - 1 + np.where((keys[x] & U(3)) == SEGMENT, here[inverse] - 1, 0))
-    sent, begin = [], 0
-    for x, (level_keys, level_sets) in zip(levels, announced):
-        own_cost = cost[begin : begin + len(level_keys)]
-        begin += len(level_keys)
+        return empty
+    counts = {of: numbers(x, np.uint8) for kind, of, x in zip(*(right[c].to_pylist() for c in ("kind", "of", "x"))) if kind == COUNTS}
+    it = Announced(block, right)
+    others = np.zeros(len(it.keys), np.int64)
+    for b, x, y in it.by_bucket(lay):
+        others[np.concatenate([x, y])] = counts[b]
+    tags = it.keys & U(3)
+    # other blocks with the key and other sets here; what waits costs where it is asked for
+    costs = np.where(tags == WAITS, others > 0, others - 1 + np.where((tags == SEGMENT) & it.mixed, it.here - 1, 0))
+    cost = costs[it.place]
+    keys, entries, asks, begin = [], [], [], 0
+    n_sets = len(block.sets)
+    for x, size in zip(it.levels, it.sizes):
+        own_cost, level_sets, level_keys = (v[begin : begin + size] for v in (cost, it.sets, it.all_keys))
+        begin += size
         n_filled, n_twice = int(x.filled.sum()), int(x.twice.sum())
         by_cost = np.lexsort((own_cost[:n_filled], level_sets[:n_filled]))
         ordered = level_sets[by_cost]
         rank = np.arange(n_filled) - np.searchsorted(ordered, ordered)
-        asked = np.zeros(len(level_keys), bool)
+        asked = np.zeros(size, bool)
         asked[by_cost] = rank < x.need[ordered]
         n_asks = n_filled + n_twice + int(x.twice[x.thin_segment].sum()) + int(x.bare.sum())
         asked[n_filled:n_asks] = True
         asked &= own_cost > 0
-        sent.append((level_keys[asked], level_sets[asked], 1))
+        keys.append(level_keys[asked])
+        entries.append(level_sets[asked] + (0 if x.own else n_sets))
+        asks.append(np.ones(int(asked.sum())))
         if x.own:
             indexed = own_cost > 0
             indexed[n_filled:n_asks] = False
-            sent.append((level_keys[indexed], level_sets[indexed], 0))
-    keys = np.concatenate([k for k, _, _ in sent]) & ~U(3)
-    sets = np.concatenate([s for _, s, _ in sent])
-    entry = np.zeros(len(keys), ENTRY)
-    entry["doc"], entry["label"], entry["size"], entry["sketch"] = block.owners[sets], label[sets], block.set_sizes[sets], block.sketches()[sets]
-    entry["asks"] = np.concatenate([np.full(len(k), a) for k, _, a in sent])
-    return messages([message(SENT, b, own, keys[x], entry[x]) for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets)])
-
+            keys.append(level_keys[indexed])
+            entries.append(level_sets[indexed])
+            asks.append(np.zeros(int(indexed.sum())))
+    words, sketches = zip(block.sketches(True), block.sketches(False))
+    twice = [np.concatenate([v, v]) for v in (block.owners, it.label, block.set_sizes)]
+    return sent(lay, np.concatenate(keys) & ~U(3), np.concatenate(entries), np.concatenate(asks), *twice, np.concatenate(words), np.concatenate(sketches))
 
-def candidates(table: pa.Table, nearest_alone: bool) -> pa.Table:
-    """In a bucket: pairs of a set that asks and one that is indexed, in different components, of near enough sizes and sketches.
 
-    With nearest_alone, a set meets under each key only the set whose sketch is nearest to its own.
-    """
-    keys = np.concatenate([numbers(x, U) for x in table["x"].to_pylist()])
-    entry = np.concatenate([numbers(y, ENTRY) for y in table["y"].to_pylist()])
-    order = np.argsort(keys, kind="stable")
-    keys, entry = keys[order], entry[order]
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-    n_runs = len(cut) - 1
-    run = np.repeat(np.arange(n_runs), np.diff(cut))
-    low = np.minimum.reduceat(entry["label"], cut[:-1])
-    high = np.maximum.reduceat(entry["label"], cut[:-1])
-    asks = np.bincount(run, entry["asks"], n_runs)
+def candidates(table: pa.Table) -> pa.Table:
+    """In a bucket: all pairs of a set that asks and one that is indexed, in different components, that may link."""
+    it = Bucket(table)
     found = []
-    for k in np.flatnonzero((low != high) & (asks > 0)):
-        part = entry[cut[k] : cut[k + 1]]
-        index, probe = part[part["asks"] == 0], part[part["asks"] == 1]
-        for p in probe:
-            fits = index[(index["label"] != p["label"]) & (index["size"] <= p["size"]) & (4 * index["size"] >= 3 * p["size"])]
-            apart = np.bitwise_count(fits["sketch"] ^ p["sketch"]).sum(axis=1)
-            near = apart <= (fits["size"] + p["size"]) // 7
-            fits, apart = fits[near], apart[near]
-            if nearest_alone and len(fits) > 1:
-                k = int(apart.argmin())
-                fits = fits[k : k + 1]
-            if len(fits):
-                found.append(np.stack([np.minimum(fits["doc"], p["doc"]), np.maximum(fits["doc"], p["doc"])], 1))
-    if not found:
-        return messages([])
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return messages([message(PAIRS, -1, table["to"][0].as_py(), np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
+    for a, b in it.meetings(np.flatnonzero(it.asks == 1), np.flatnonzero(it.asks == 0), it.keys):
+        if len(a):
+            pairs = np.unique(a * len(it.docs) + b)
+            found.append((pairs // len(it.docs), pairs % len(it.docs)))
+    pairs = it.pairs(found)
+    return messages([message(PAIRS, -1, table["to"][0].as_py(), np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))] if len(pairs) else [])
 
 
 def as_rows(df: DataFrame, schema: str) -> DataFrame:
@@ -458,52 +583,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_shingles (distinct five-word shingles) and component_id.
 
     Words are lower-cased in A-Z. Documents link when 100 * intersection >= 75 * union; component_id is the smallest
-    doc_id that links reach. Sets meet in three steps: (1) all keys of all blocks are counted in buckets, and
-    sets that share one of a few segments are compared with the first such set, which finds most copies in as
-    many comparisons as there are sets; (2) with the counts, sets ask for their cheapest segments and meet the nearest
-    set of another component under each; (3) with the components that this makes, sets ask again and meet all that
-    are still apart. Sketches that differ in more bits than linked sets can leave a pair out of (2) and (3). All
-    pairs are verified on whole sets. Equal sets in a block count as one. So a large group of copies makes neither all its pairs nor a row for each in a key's bucket at first.
+    doc_id that links reach. Sets meet in two steps. (1) Under a few of its segments a set meets the first and the nearest set:
+    that finds most groups of copies in a number of pairs that grows with the sets alone. (2) All keys of all blocks are counted in
+    buckets, with the components of (1). Sets ask for their cheapest segments among the keys that more than one component
+    has, and meet all sets of other components there. Sketches leave out pairs that differ in more bits
+    than linked sets can. All pairs of both steps are verified on whole sets, so (1) and the sketches only save work.
 
     Null texts and texts without words have no shingles and no links; fewer than five words are one
-    shingle. Rows that share a doc_id are one document in links, each with its own n_shingles. Rows
+    shingle. Very long texts are taken whole: a set has more segments and a wider sketch the larger it is. Rows that share a
+    doc_id are one document in links, each with its own n_shingles. Rows
     without doc_id have no links and a null component_id. Other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     lay = blocks.layout(docs, block_bytes=4 << 20)
     packed = blocks.chunks(docs, lay).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            to = batch.column("block").to_numpy()
+            order = np.argsort(to, kind="stable")
+            for x in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+                if len(x):
+                    yield messages([message(LABELS, int(to[x[0]]), -1, batch.column("id").to_numpy()[x], batch.column("label").to_numpy()[x])]).to_batches()[0]
+
     try:
-        met = packed.groupBy("block").applyInArrow(lambda t: announce(t, lay), MESSAGE).groupBy("to").applyInArrow(lambda t: meet(t, lay), MESSAGE)
-        met = written(met, "met")
-        inside = as_rows(met.where(F.col("kind") == LINKS), "a long, b long")
-        first = as_rows(met.where(F.col("kind") == PAIRS), "a long, b long").distinct()
-        links = written(inside.unionByName(verified(first, packed, lay)), "links")
-
-        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                to = batch.column("block").to_numpy()
-                order = np.argsort(to, kind="stable")
-                for x in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-                    if len(x):
-                        yield messages([message(LABELS, int(to[x[0]]), -1, batch.column("id").to_numpy()[x], batch.column("label").to_numpy()[x])]).to_batches()[0]
-
-        def pairs_apart(labels: DataFrame, nearest_alone: bool) -> DataFrame:
-            placed = with_blocks(labels, lay, "id long, label long, block long, label_block long")
-            told = met.where(F.col("kind") == COUNTS).unionByName(placed.mapInArrow(gather, MESSAGE))
-            asked = packed.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(lambda a, b: ask(a, b, lay), MESSAGE)
-            return as_rows(asked.groupBy("to").applyInArrow(lambda t: candidates(t, nearest_alone), MESSAGE), "a long, b long").distinct()
-
-        labels = components(links)
-        nearest = written(pairs_apart(labels, True), "nearest")
-        more = written(verified(nearest, packed, lay), "links")
-        labels = components(links.unionByName(more))
-        rest = written(pairs_apart(labels, False).join(nearest, ["a", "b"], "left_anti"), "rest")
-        last = written(verified(rest, packed, lay), "links")
-        labels = components(links.unionByName(more).unionByName(last))
+        copies = packed.groupBy("block").applyInArrow(lambda t: announce_copies(t, lay), SENT_SCHEMA).groupBy("to").applyInArrow(lambda t: meet_copies(t, lay), MESSAGE)
+        copies = written(copies, "copies")
+        inside = as_rows(copies.where(F.col("kind") == LINKS), "a long, b long")
+        first = as_rows(copies.where(F.col("kind") == PAIRS), "a long, b long").distinct()
+        labels = components(inside.unionByName(verified(first, packed, lay)))
+        told = written(with_blocks(labels, lay, "id long, label long, block long, label_block long").mapInArrow(gather, MESSAGE), "labels")
+        keys = packed.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(lambda a, b: announce(a, b, lay), MESSAGE)
+        counts = keys.groupBy("to").applyInArrow(meet, MESSAGE)
+        asked = packed.groupBy("block").cogroup(counts.unionByName(told).groupBy("to")).applyInArrow(lambda a, b: ask(a, b, lay), SENT_SCHEMA)
+        rest = as_rows(asked.groupBy("to").applyInArrow(candidates, MESSAGE), "a long, b long").distinct()
+        known = labels.where("id <> label").toDF("a", "b")
+        labels = components(known.unionByName(verified(rest, packed, lay)))
     finally:
         packed.unpersist()
-    with_id = as_rows(met.where((F.col("kind") == DOCS) & (F.col("of") >= 0)), "doc_id long, n_shingles long")
+    with_id = as_rows(copies.where(F.col("kind") == DOCS), "doc_id long, n_shingles long")
     joined = with_id.join(labels.toDF("doc_id", "label"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
     def without_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -512,23 +631,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 sizes = pa.array(numbers(y.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(sizes), pa.int64()), sizes, pa.nulls(len(sizes), pa.int64())], ["doc_id", "n_shingles", "component_id"])
 
-    rest = met.where((F.col("kind") == DOCS) & (F.col("of") < 0)).select("y").mapInArrow(without_id, "doc_id long, n_shingles long, component_id long")
-    return joined.unionByName(rest)
+    bare = copies.where(F.col("kind") == BARE).select("y").mapInArrow(without_id, "doc_id long, n_shingles long, component_id long")
+    return joined.unionByName(bare)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id, in the columns of docs.
+    """Of each group of near duplicates the document with the smallest id, in the columns of docs, unchanged.
 
-    Rows that share an id are one document: the least by its other columns stays. Rows without an id all stay.
+    Rows that share an id are documents of their own: of equal or near texts among them one stays, different texts all
+    stay. Rows without an id, null texts and texts without words have no duplicates and stay. Very long texts are compared whole. Columns may have any name
+    and type; an empty table gives no rows.
     """
-    found = near_duplicates(docs)
-    lost = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("_repeated"))
-    kept = docs.join(lost, "doc_id", "left_anti").join(repeated, "doc_id", "left")
-    others = [c for c in docs.columns if c != "doc_id"]
-    once = kept.where(F.col("_repeated").isNull()).select(*docs.columns)
-    least = kept.where(F.col("_repeated")).groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_least")).select("doc_id", "_least.*").select(*docs.columns)
-    return once.unionByName(least)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id"))
+    boxed = docs.select(F.col("doc_id").alias("id"), row)
+    if repeated.isEmpty():
+        lost = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("id"))
+        return boxed.join(lost, "id", "left_anti").select("row.*")
+    # rows of repeated ids get numbers of their own, below all ids
+    lowest = docs.agg(F.min("doc_id").alias("least")).head().least
+    many = written(boxed.join(repeated, "id", "left_semi").withColumn("number", F.lit(lowest - 1) - F.monotonically_increasing_id()), "repeated")
+    numbered = boxed.join(repeated, "id", "left_anti").withColumn("number", F.col("id")).unionByName(many)
+    found = near_duplicates(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))).select(F.col("doc_id").alias("number"), "component_id")
+    least = found.where(F.col("number").isNotNull()).join(numbered.select("number", "id"), "number").groupBy("component_id").agg(F.min(F.struct("id", "number")).alias("least"))
+    stays = least.select("least.number")
+    return numbered.where(F.col("number").isNull()).unionByName(numbered.join(stays, "number", "left_semi").select(*numbered.columns)).select("row.*")
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,7 +166,7 @@ class Block:
         ids = table["doc_id"]
         self.valid = ids.is_valid().to_numpy()
         self.ids = ids.fill_null(0).to_numpy()
-        rows = [shingles(text.lower().split()) for text in blocks.raw_texts(table["text"])]
+        rows = [shingles(text.split()) for text in blocks.raw_texts(table["text"])]
         self.sizes = np.array([len(r) for r in rows], np.int64)
         self.same: list[tuple[int, int]] = []
         self.sets: list[np.ndarray] = []
@@ -187,15 +187,15 @@ class Block:
         self.elements = np.concatenate([np.zeros(0, U), *self.sets])
         self.set_of = np.repeat(np.arange(len(self.sets)), self.set_sizes)
 
-    def sketches(self, own: bool) -> tuple[np.ndarray, np.ndarray]:
-        """By set the words of its sketch, and all sketches in a row: for each of two shares of the universe an element
+    def sketches(self, own: bool, bits: float = 2) -> tuple[np.ndarray, np.ndarray]:
+        """By set the words of its sketch, and all sketches in a row: for each of so many shares of the universe an element
         whether it holds an odd number of elements.
 
         The width is that of the own band, or of the band below. Sketches of two sets differ in at most as many bits as the sets
         differ in elements.
         """
         bands = Bands(int(self.set_sizes.max(initial=1)))
-        words = -(-2 * bands.high[np.maximum(bands.of(self.set_sizes) - (not own), 0)] // 64)
+        words = np.ceil(bits * bands.high[np.maximum(bands.of(self.set_sizes) - (not own), 0)] / 64).astype(np.int64)
         begin = np.cumsum(words) - words
         share = blocks.mixed(self.elements ^ U(0x8EBC6AF09C88C6E3)) % (64 * words[self.set_of]).astype(U)
         odd = np.bincount(64 * begin[self.set_of] + share.astype(np.int64), minlength=64 * int(words.sum())) & 1
@@ -205,6 +205,12 @@ class Block:
         return level(self.elements, self.set_of, self.set_sizes, own)
 
 
+def lower_words(table: pa.Table) -> pa.Table:
+    """Texts as lower-case words with a space between."""
+    texts = pa.array([b" ".join(t.lower().split()) for t in blocks.raw_texts(table["text"])], pa.large_binary())
+    return table.set_column(table.schema.get_field_index("text"), "text", texts)
+
+
 class Joined:
     """Which places are linked already."""
 
@@ -240,13 +246,25 @@ def sent(lay: blocks.Layout, keys: np.ndarray, entry: np.ndarray, asks: np.ndarr
     for b, x in blocks.by_bucket(bucket_of(keys, lay.n_buckets), lay.n_buckets):
         own, at = np.unique(entry[x], return_inverse=True)
         sketch = sketches[ranges(begin[own], words[own])]
-        values = keys[x], at.astype(np.int32), asks[x].astype(np.int8), docs[own], labels[own], sizes[own].astype(np.int32), words[own].astype(np.int32), sketch
+        at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+        values = short(keys[x]), at, np.packbits(asks[x].astype(bool)), docs[own], labels[own], sizes[own].astype(np.int32), words[own].astype(np.int32), sketch
         rows.append((b, *(v.tobytes() for v in values)))
     names = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
     columns = list(zip(*rows)) or [[]] * len(names)
     return pa.table([pa.array(c, pa.int64() if n == "to" else pa.binary()) for c, n in zip(columns, names)], names=names)
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """The low five bytes of keys. Their buckets follow from all eight, and keys that are taken for one only let more sets meet."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+
+
+def long(value: bytes) -> np.ndarray:
+    out = np.zeros((len(value) // 5, 8), np.uint8)
+    out[:, :5] = numbers(value, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... of each range, in a row."""
     ends = np.cumsum(size)
@@ -260,9 +278,12 @@ class Bucket:
         def joined(name: str, kind) -> np.ndarray:
             return np.concatenate([np.zeros(0, kind), *(numbers(v, kind) for v in table[name].to_pylist())])
 
+        keys = [long(v) for v in table["keys"].to_pylist()]
         sizes = [len(v) // 8 for v in table["docs"].to_pylist()]
-        shift = np.repeat(np.cumsum(sizes) - sizes, [len(v) // 8 for v in table["keys"].to_pylist()])
-        self.keys, self.entry, self.asks = joined("keys", U), joined("at", np.int32) + shift, joined("asks", np.int8)
+        self.keys = np.concatenate(keys)
+        at = [numbers(v, np.uint16 if n <= 1 << 16 else np.uint32) for v, n in zip(table["at"].to_pylist(), sizes)]
+        self.entry = np.concatenate(at).astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, [len(k) for k in keys])
+        self.asks = np.concatenate([np.unpackbits(numbers(v, np.uint8), count=len(k)) for v, k in zip(table["asks"].to_pylist(), keys)])
         self.docs, self.labels, self.sizes = joined("docs", np.int64), joined("labels", np.int64), joined("sizes", np.int32).astype(np.int64)
         self.words, self.sketches = joined("words", np.int32).astype(np.int64), joined("sketches", U)
         self.begin = np.cumsum(self.words) - self.words
@@ -341,7 +362,7 @@ def announce_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
         top = np.array([joined.top(k) for k in range(len(block.sets))])
         by_group = np.lexsort((sets, top[sets], keys))
         first = by_group[np.concatenate([[True], (np.diff(keys[by_group]) != 0) | (np.diff(top[sets[by_group]]) != 0)])]
-        out = sent(lay, keys[first], sets[first], np.ones(len(first)), block.owners, block.owners[top], block.set_sizes, *block.sketches(True))
+        out = sent(lay, keys[first], sets[first], np.ones(len(first)), block.owners, block.owners[top], block.set_sizes, *block.sketches(True, 0.5))
     a, b = np.array(links, np.int64).reshape(-1, 2).T
     valid = block.valid
     rows = [(DOCS, block.ids[valid].tobytes(), block.sizes[valid].tobytes()), (BARE, b"", block.sizes[~valid].tobytes()), (LINKS, np.ascontiguousarray(a).tobytes(), np.ascontiguousarray(b).tobytes())]
@@ -372,8 +393,7 @@ def meet_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
             by = np.lexsort((it.docs[b], it.apart(a, b), a))
             by = by[np.concatenate([[True], np.diff(a[by]) != 0])]
             found.append((a[by], b[by]))
-    pairs = it.pairs(found)
-    return messages([message(PAIRS, -1, bucket, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
+    return pair_messages(it.pairs(found), lay)
 
 
 def labels_of(block: "Block", told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -419,13 +439,13 @@ def announce(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
     if not block.sets:
         return messages([])
     it = Announced(block, right)
-    return messages([message(KEYS, b, own, it.keys[np.concatenate([x, y])], it.component[x]) for b, x, y in it.by_bucket(lay)])
+    return messages([message(KEYS, b, own, short(it.keys[np.concatenate([x, y])]), it.component[x]) for b, x, y in it.by_bucket(lay)])
 
 
 def meet(table: pa.Table) -> pa.Table:
     """In a bucket: how many blocks have each key (as far as 255); one for a key that one component alone has."""
     of = table["of"].to_pylist()
-    parts = [numbers(x, U) for x in table["x"].to_pylist()]
+    parts = [long(x) for x in table["x"].to_pylist()]
     components_ = [numbers(y) for y in table["y"].to_pylist()]
     keys = np.concatenate(parts)
     whole = np.concatenate([np.arange(len(p)) < len(c) for p, c in zip(parts, components_)])
@@ -489,7 +509,7 @@ def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
     return sent(lay, np.concatenate(keys) & ~U(3), np.concatenate(entries), np.concatenate(asks), *twice, np.concatenate(words), np.concatenate(sketches))
 
 
-def candidates(table: pa.Table) -> pa.Table:
+def candidates(table: pa.Table, lay: blocks.Layout) -> pa.Table:
     """In a bucket: all pairs of a set that asks and one that is indexed, in different components, that may link."""
     it = Bucket(table)
     found = []
@@ -497,8 +517,19 @@ def candidates(table: pa.Table) -> pa.Table:
         if len(a):
             pairs = np.unique(a * len(it.docs) + b)
             found.append((pairs // len(it.docs), pairs % len(it.docs)))
-    pairs = it.pairs(found)
-    return messages([message(PAIRS, -1, table["to"][0].as_py(), np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))] if len(pairs) else [])
+    return pair_messages(it.pairs(found), lay)
+
+
+def pair_messages(pairs: np.ndarray, lay: blocks.Layout) -> pa.Table:
+    """Pairs to shares by their hash, so that those of several buckets become one before they are rows."""
+    share = blocks.mixed(pairs[:, 0].astype(U) * U(0xA0761D6478BD642F) ^ pairs[:, 1].astype(U)) % U(lay.n_buckets)
+    return messages([message(PAIRS, b, -1, *(np.ascontiguousarray(c) for c in pairs[x].T)) for b, x in blocks.by_bucket(share.astype(np.int64), lay.n_buckets)])
+
+
+def distinct_pairs(table: pa.Table) -> pa.Table:
+    a, b = (np.concatenate([numbers(v) for v in table[c].to_pylist()]) for c in ("x", "y"))
+    a, b = np.unique(np.stack([a, b], 1), axis=0).T
+    return pa.table({"a": np.ascontiguousarray(a), "b": np.ascontiguousarray(b)})
 
 
 def as_rows(df: DataFrame, schema: str) -> DataFrame:
@@ -561,7 +592,7 @@ def verified(pairs: DataFrame, packed: DataFrame, lay: blocks.Layout) -> DataFra
                 table = table.take(pa.array(np.flatnonzero(np.isin(ids, wanted))))
                 found: dict[int, list[np.ndarray]] = {}
                 for i, text in zip(table["doc_id"].to_pylist(), blocks.raw_texts(table["text"])):
-                    found.setdefault(i, []).append(shingles(text.lower().split()))
+                    found.setdefault(i, []).append(shingles(text.split()))
                 return found
 
             there: dict[int, list[np.ndarray]] = {}
@@ -597,7 +628,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     lay = blocks.layout(docs, block_bytes=4 << 20)
-    packed = blocks.chunks(docs, lay).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
+    packed = blocks.chunks(docs, lay, lower_words).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -611,13 +642,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         copies = packed.groupBy("block").applyInArrow(lambda t: announce_copies(t, lay), SENT_SCHEMA).groupBy("to").applyInArrow(lambda t: meet_copies(t, lay), MESSAGE)
         copies = written(copies, "copies")
         inside = as_rows(copies.where(F.col("kind") == LINKS), "a long, b long")
-        first = as_rows(copies.where(F.col("kind") == PAIRS), "a long, b long").distinct()
+        first = copies.where(F.col("kind") == PAIRS).groupBy("to").applyInArrow(distinct_pairs, "a long, b long")
         labels = components(inside.unionByName(verified(first, packed, lay)))
         told = written(with_blocks(labels, lay, "id long, label long, block long, label_block long").mapInArrow(gather, MESSAGE), "labels")
         keys = packed.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(lambda a, b: announce(a, b, lay), MESSAGE)
         counts = keys.groupBy("to").applyInArrow(meet, MESSAGE)
         asked = packed.groupBy("block").cogroup(counts.unionByName(told).groupBy("to")).applyInArrow(lambda a, b: ask(a, b, lay), SENT_SCHEMA)
-        rest = as_rows(asked.groupBy("to").applyInArrow(candidates, MESSAGE), "a long, b long").distinct()
+        met = asked.groupBy("to").applyInArrow(lambda t: candidates(t, lay), MESSAGE)
+        rest = met.groupBy("to").applyInArrow(distinct_pairs, "a long, b long")
         known = labels.where("id <> label").toDF("a", "b")
         labels = components(known.unionByName(verified(rest, packed, lay)))
     finally:

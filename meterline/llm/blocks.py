@@ -8,7 +8,7 @@ taken for one if both agree.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,17 +57,20 @@ def packed(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def chunks(docs: DataFrame, lay: Layout) -> DataFrame:
-    """(block, payload): compressed runs of (doc_id, text). Rows without doc_id are dealt to all blocks in turn."""
+def chunks(docs: DataFrame, lay: Layout, view: Callable[[pa.Table], pa.Table] | None = None) -> DataFrame:
+    """(block, payload): compressed runs of (doc_id, text), or of what view makes of such rows. Rows without doc_id are dealt to all blocks in turn."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            if not len(table):
+                continue
             block = lay.block_of(table["doc_id"].fill_null(0).to_numpy())
             bare = np.flatnonzero(table["doc_id"].is_null().to_numpy())
             block[bare] = bare % lay.n_blocks
             order = np.argsort(block, kind="stable")
             cut = np.flatnonzero(np.diff(block[order])) + 1
+            table = view(table) if view else table
             parts = [x for x in np.split(order, cut) if len(x)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(block[x[0]]) for x in parts], pa.int64()), pa.array([packed(table.take(pa.array(x)).combine_chunks()) for x in parts], pa.binary())],

@@ -134,18 +134,11 @@ def broken_nodes(spark, sf_dir):
 
 def dialogues(spark, sf_dir):
     nodes = context_nodes(spark, sf_dir)
-    spark.sparkContext.setCheckpointDir(_checkpoints(spark))
+    tables.shared_checkpoints(spark)
     leaves = nodes.groupBy("conv_id").agg(F.max_by("node_hash", "depth").alias("node_hash"))
     return graph.dialogue(leaves, nodes)
 
 
-def _checkpoints(spark) -> str:
-    """The cluster's shared folder; one of our own only where it names none."""
-    import tempfile
-
-    return spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="meterline-")
-
-
 def foreign_edges(spark, sf_dir):
     e = _events(spark, sf_dir)
     observations = e.where("event_id % 50 <> 0").select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 17 == 0, "b").otherwise("a").alias("tenant_id"))

@@ -5,6 +5,8 @@ A view is one SELECT that Spark and DuckDB both run, so an operator and its orac
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 EVENTS_MS = {"spark": "CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS BIGINT)", "duckdb": "epoch_us(ts) // 1000"}
@@ -69,6 +71,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def shared_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the folder that spark.checkpoint.dir names.
+
+    Where it names none, a local session gets a folder of its own; elsewhere executors would share none, so that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder")
+        root = "file://" + tempfile.mkdtemp(prefix="meterline-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     """A view's SELECT over the driver's tables, in Spark."""
     sql = sql.replace("{usage}", USAGE).replace("{ms}", EVENTS_MS["spark"]).replace("{days}", DAYS["spark"])

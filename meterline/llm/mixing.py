@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterline.llm.tables import read
+from meterline.llm.tables import boxed, read
 
 #: Target shares of src0 ... src19 and of whatever else there is, in whole parts.
 PRODUCTION_SHARES = {f"src{k}": share for k, share in enumerate([12, 8, 8, 6, 6, 5, 5, 5, 4, 4, 4, 4, 4, 4, 3, 3, 3, 3, 3, 3])}
@@ -91,9 +91,15 @@ def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block_rows: in
 
 
 def in_mixed_order(docs: DataFrame, shares: dict[str, int], others: int = 1) -> DataFrame:
-    """The columns of docs alone, dealt into partitions by rising slot and sorted, so files follow the mixed order."""
-    placed = mix(docs, shares, others)
-    return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    """The columns of docs alone, dealt into partitions by rising slot and sorted, so files follow the mixed order.
+
+    No row is dropped, and every column stays as it is, whatever its name. Null sources count as others; rows without
+    doc_id, repeated rows, and null, empty and very long texts are dealt like all; an empty table gives no rows.
+    """
+    ties = [c for c in ("source", "text", "n_chars") if c in docs.columns and c != "source"]
+    named = boxed(docs).select("row", "row.doc_id", F.col("row.source").cast("string").alias("source"), *[f"row.{c}" for c in ties])
+    placed = mix(named, shares, others)
+    return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row").select("row.*")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

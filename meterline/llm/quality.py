@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.tables import read, words_of
+from meterline.llm.tables import boxed, read, with_field, words_of
 
 BREAK = r"[\x20\x09-\x0D]"
 #: Signs that close a sentence, perhaps before a closing quote or bracket.
@@ -125,11 +125,19 @@ def document_stats(docs: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that pass both, with cleaned text, in the columns of docs."""
-    judged = clean_lines(document_stats(docs))
+    """The documents that pass both, with cleaned text, in the columns of docs; n_chars follows where there is one.
+
+    Null and empty texts and texts without words are rejected, as all with fewer than 20 words. Very long texts are judged whole. Rows are judged alone, so repeated rows
+    and ids each stay or go. All other columns stay as they are, whatever their names; an empty table gives no rows.
+    """
+    judged = clean_lines(document_stats(boxed(docs).withColumn("text", F.col("row.text"))))
     # a filter on row numbers stays above the rules; pushed below, it would work them out again inside their own loops
     judged = judged.withColumn("_row", F.monotonically_increasing_id()).where(~F.col("base_failed") & F.col("kept") & (F.col("_row") >= 0))
-    return judged.withColumn("text", F.col("cleaned")).withColumn("n_chars", F.char_length("cleaned").cast("long")).select(*docs.columns)
+    row = with_field(docs, F.col("row"), "text", F.col("cleaned"))
+    if "n_chars" in docs.columns:
+        changed = ~F.col("cleaned").eqNullSafe(F.col("text"))
+        row = with_field(docs, row, "n_chars", F.when(changed, F.char_length("cleaned")).otherwise(F.col("row.n_chars")))
+    return judged.select(row.alias("row")).select("row.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

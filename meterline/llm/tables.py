@@ -14,9 +14,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a folder of our own only where that is unset, as in local tests."""
+    """The folder in spark.checkpoint.dir; a folder of our own only in a local session where that is unset, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that executors share")
         root = "file://" + tempfile.mkdtemp(prefix="meterline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -30,6 +32,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(df: DataFrame) -> DataFrame:
+    """One column, row: a struct of all columns of df. So columns made on the way clash with none of them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def with_field(df: DataFrame, row, name: str, value):
+    """row, a struct of df's columns, with a new value for one of them, of the type that it has."""
+    return row.withField(f"`{name}`", value.cast(df.schema[name].dataType))
+
+
 def words_of(text):
     """Array of the words `[^\\x20\\x09-\\x0D]+` of a string column, in order."""
     return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")

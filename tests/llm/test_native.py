@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,12 +113,26 @@ def test_secrets_against_brute_force(spark, tables, sf_dir, table):
 
 def test_ledger_scans_only_what_is_new(spark):
     one = spark.createDataFrame([("a", 1, "secret=abcdef"), ("b", 1, "secret=abcdef"), ("a", 2, None)], "path string, version int, text string")
-    back, ledger = secret_scan.scan_versions(one)
-    assert ledger.count() == 2 and sorted(len(r.spans) for r in back.collect()) == [0, 1, 1]
+    ledger = secret_scan.Ledger(spark)
+    assert secret_scan.unseen(one, ledger).count() == 2
+    back = secret_scan.scan_versions(one, ledger)
+    assert ledger.rows().count() == 2 and sorted(len(r.spans) for r in back.collect()) == [0, 1, 1]
     two = spark.createDataFrame([("c", 1, "secret=abcdef"), ("d", 1, "token: 1234567")], "path string, version int, text string")
-    back, more = secret_scan.scan_versions(two, ledger)
-    assert more.count() == 1 and all(len(r.spans) == 1 for r in back.collect())
-    assert secret_scan.scan_versions(two, ledger, rules_version="other")[1].count() == 2
+    assert [r.text for r in secret_scan.unseen(two, ledger).collect()] == ["token: 1234567"]
+    back = secret_scan.scan_versions(two, ledger)
+    assert ledger.rows().count() == 3 and all(len(r.spans) == 1 for r in back.collect())
+    ledger.append(ledger.rows())  # a repeated run
+    assert sorted(len(r.spans) for r in secret_scan.scan_versions(two, ledger).collect()) == [1, 1] and secret_scan.unseen(two, ledger).count() == 0
+    assert secret_scan.unseen(two, ledger, rules_version="other").count() == 2
+
+
+def test_many_matches_take_linear_time(spark):
+    text = " ".join(f"{'ab' * 12}{k:06d} secret=hunter{k}" for k in range(20_000))
+    rows = spark.createDataFrame([(1, text, "u")], "doc_id long, text string, blob string")
+    begin = time.time()
+    got = secret_scan.redact_documents(rows).head()
+    assert got.text == " ".join(["[SECRET] [SECRET]"] * 20_000) and got.blob == "u"
+    assert time.time() - begin < 60
 
 
 def test_redaction_joins_overlaps(spark):

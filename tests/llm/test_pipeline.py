@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterline.llm import quality, secret_scan, subwords
@@ -71,6 +72,29 @@ def test_stages_keep_the_columns(spark, tmp_path_factory):
         assert stage(spark, docs.where("false"), "").count() == 0
 
 
+def test_stages_keep_users_columns_by_value(spark):
+    """Columns named like those made on the way, a map, and two texts under one id."""
+    prose = " ".join(f"word{k}" for k in range(40)) + ". This closes the only line of the text, as it should."
+    names = ["kept", "n_words", "blob", "stream", "_lines", "_repeated", "row", "slot", "spans", "salt", "number", "id"]
+    docs = spark.createDataFrame([(1, prose, "src1", 7), (1, prose.upper().lower()[::-1] + ".", "src1", 7), (2, prose + " secret=hunter22 end.", "src2", 8)], "doc_id long, text string, source string, n_chars long")
+    for c in names:
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), "doc_id"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, "").collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" and r.m == {"k": r.doc_id} for r in rows for c in names), name
+        if name == "ngram_jaccard":
+            assert sorted(r.doc_id for r in rows) in ([1, 1], [1, 2])
+        else:
+            assert len(rows) == (3 if name != "quality_rules" else len(rows))
+
+
+def test_different_texts_under_one_id_stay(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    docs = spark.createDataFrame([(5, a, 1), (5, b, 2), (5, a, 3), (6, a, 4), (7, None, 5), (None, a, 6), (8, "c " * 30, 7)], "doc_id long, text string, n int")
+    assert sorted(r.n for r in corpus_pipeline.ngram_jaccard(spark, docs, "").collect()) in ([1, 2, 5, 6, 7], [2, 3, 5, 6, 7])
+
+
 def test_mixed_files_follow_the_order(spark, sf_dir):
     from meterline.llm import mixing
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,22 +16,32 @@ def node_hash(parent, atom):
     return F.sha2(F.concat(F.coalesce(parent, F.lit("root")), F.lit("\0"), atom), 256)
 
 
+NODES = "conv_id long, depth long, node_hash string, parent_hash string, atom_hash string"
+
+
 def context_nodes(turns: DataFrame) -> DataFrame:
     """Nodes (conv_id, depth, node_hash, parent_hash, atom_hash) of conversations (conv_id, turn, role, text).
 
-    A hash covers its parent's, so a conversation is a fold over its atoms' hashes in order; texts stay out of the group.
+    A hash covers its parent's, so a conversation's atoms are hashed in order, as a stream of sorted rows: one of any
+    length takes time in proportion and no more memory than a batch. Texts stay out of the stream.
     """
     atom = F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\0"), F.coalesce("text", F.lit(""))), 256)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("turn"), atom.alias("atom"))))
-    none = F.array().cast("array<struct<node_hash:string,parent_hash:string,atom_hash:string>>")
+    ordered = turns.select("conv_id", "turn", atom.alias("atom")).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "atom")
 
-    def grow(nodes, x):
-        parent = F.try_element_at(nodes, F.lit(-1))["node_hash"]
-        node = F.struct(node_hash(parent, x["atom"]).alias("node_hash"), parent.alias("parent_hash"), x["atom"].alias("atom_hash"))
-        return F.concat(nodes, F.array(node))
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, depth, parent, begun = None, 0, None, False
+        for batch in batches:
+            rows = []
+            for conv_id, atom in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not begun or conv_id != now:
+                    now, depth, parent, begun = conv_id, 0, None, True
+                node = hashlib.sha256(f"{parent or 'root'}\0{atom}".encode()).hexdigest()
+                rows.append((conv_id, depth, node, parent, atom))
+                depth, parent = depth + 1, node
+            columns = list(zip(*rows)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.string()) for k, c in enumerate(columns)], [c.split()[0] for c in NODES.split(", ")])
 
-    folded = turns.groupBy("conv_id").agg(ordered.alias("_t")).select("conv_id", F.aggregate("_t", none, grow).alias("_n"))
-    return folded.select("conv_id", F.posexplode("_n").alias("depth", "_x")).select("conv_id", F.col("depth").cast("long").alias("depth"), "_x.*")
+    return ordered.select("conv_id", "atom").mapInArrow(grow, NODES)
 
 
 def broken_nodes(nodes: DataFrame) -> DataFrame:
@@ -82,14 +96,13 @@ def locator_union(relations: dict[str, tuple[DataFrame, str, str]]) -> DataFrame
 
 
 def storage_class(key):
-    """Class of an object's key: its layout by content, or what else it holds."""
-    hexes = "[0-9a-f]{2}/[0-9a-f]{64}$"
+    """What an object's key says about whether it may be deleted. Prefixes and classes."""
     return (
-        F.when(key.rlike("^objects/sha256/" + hexes), "content")
-        .when(key.rlike("^tenants/[^/]+/cas/v1/sha256/" + hexes), "tenant content")
-        .when(key.startswith("manifests/"), "manifest")
-        .when(key.startswith("staging/"), "staging")
-        .otherwise("other")
+        F.when(key.startswith("raw-cache/"), "cache_candidate_requires_reference_and_retention_proof")
+        .when(key.rlike("^tenants/[^/]+/(?:cas|raw|conversations)/"), "protected_training_or_shared_cas")
+        .when(key.startswith("staging/") | key.startswith("conversation-staging/"), "staging_requires_owner_fence")
+        .when(key.startswith("readiness/"), "readiness_requires_owner_fence")
+        .otherwise("unclassified_protected")
     )
 
 

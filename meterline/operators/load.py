@@ -30,12 +30,18 @@ def conflicts(staged: DataFrame) -> DataFrame:
 
 
 def canonical(staged: DataFrame) -> DataFrame:
-    """The latest row of each event, ties by the greatest digest."""
+    """The latest row of each event, ties by the greatest request_id, then by the greatest digest."""
     columns = [c for c in staged.columns if c != "event_hash"]
-    latest = staged.groupBy("event_hash").agg(F.max_by(F.struct(*columns), F.struct("timestamp_ms", "source_digest")).alias("_row"))
+    latest = staged.groupBy("event_hash").agg(F.max_by(F.struct(*columns), F.struct("timestamp_ms", "request_id", "source_digest")).alias("_row"))
     return latest.select("event_hash", "_row.*")
 
 
+def changed_since(canonical_rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(event_hash) of events that were imported before with another payload: what is imported doesn't change."""
+    held = links.where("source_digest <> ''").select("event_hash", F.col("source_digest").alias("_held"))
+    return canonical_rows.select("event_hash", "source_digest").join(held, "event_hash").where(F.col("source_digest") != F.col("_held")).select("event_hash")
+
+
 def duplicates_removed(staged: DataFrame) -> DataFrame:
     """One row: staged rows, events and rows beyond the first of an event."""
     n = staged.groupBy("event_hash").count()
@@ -89,12 +95,19 @@ def facts_of(requests: DataFrame) -> DataFrame:
     return requests.select(F.col("id").alias("request_id"), "*").withColumn("status_class", status_class(F.col("status_code"))).drop("id", "status_code", "request_object", "event_hash")
 
 
-def checkpoint(events: DataFrame, watermark_ms: int = 0, event_hash: str = "", loaded: int = 0) -> DataFrame:
-    """One row: the watermark after a load (it never moves back), the event that holds it, and events loaded in all."""
-    old = events.sparkSession.createDataFrame([(watermark_ms, event_hash, 0)], "timestamp_ms long, event_hash string, n long")
-    both = events.select("timestamp_ms", "event_hash", F.lit(1).cast("long").alias("n")).unionByName(old)
-    newest = F.max(F.struct("timestamp_ms", "event_hash"))
-    return both.agg(newest.alias("_w"), (F.sum("n") + loaded).alias("loaded")).select(F.col("_w.timestamp_ms").alias("watermark_ms"), F.col("_w.event_hash").alias("watermark_event"), "loaded")
+def checkpoint(events: DataFrame, claimed: DataFrame, watermark_ms: int = 0, event_hash: str = "", loaded: int = 0) -> DataFrame:
+    """One row: the watermark after a load, the event that holds it, and requests loaded in all.
+
+    The watermark never moves back; at equal times the newer load's event holds it. Only what this load claimed
+    counts, so a replay adds nothing.
+    """
+    newest = events.agg(F.max(F.struct("timestamp_ms", "event_hash")).alias("_w"))
+    both = newest.crossJoin(claimed.agg(F.count("*").alias("_n")))  # one row each
+    moved = F.coalesce(F.col("_w.timestamp_ms") >= watermark_ms, F.lit(False))
+    return both.select(
+        F.when(moved, F.col("_w.timestamp_ms")).otherwise(F.lit(watermark_ms)).cast("long").alias("watermark_ms"),
+        F.when(moved, F.col("_w.event_hash")).otherwise(F.lit(event_hash)).alias("watermark_event"), (F.col("_n") + loaded).alias("loaded"),
+    )
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:

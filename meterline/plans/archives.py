@@ -89,17 +89,25 @@ def retired_records(spark, sf_dir):
 
 
 def correlation(spark, sf_dir):
-    """Archive records against requests whose ids repeat, whose clocks are off, and whose models differ."""
+    """Archive records against requests whose ids repeat, whose clocks are off, whose models differ, and of which two match but for tokens."""
     e = _events(spark, sf_dir)
-    external = (F.col("event_id") % 4000).cast("string").alias("external_id")
-    records = e.where("event_id % 3 <> 0").select(F.col("event_id").alias("record_id"), external, F.col("at_ms").alias("started_at"), F.col("event_type").alias("requested_model"), F.lit("view").alias("resolved_model"), "key_id")
-    requests = e.where("event_id % 10 <> 0").select(external, (F.col("at_ms") + F.when(F.col("event_id") % 5 == 0, 300_001).otherwise(F.lit(300_000))).alias("created_at"), F.when(F.col("event_id") % 7 == 0, "other").otherwise(F.col("event_type")).alias("model"), "key_id")
-    return archive.correlate(records, requests)
+    external = F.floor(F.col("event_id") / 3).cast("string").alias("external_id")  # three events an id, however many events
+    spent = [(F.col("event_id") % m).alias(c) for c, m in (("input_tokens", 7), ("output_tokens", 3))]
+    records = e.select(F.col("event_id").alias("record_id"), external, F.col("at_ms").alias("started_at"), F.col("event_type").alias("requested_model"), F.lit("view").alias("resolved_model"), "key_id", *spent)
+    off = F.when(F.col("event_id") % 5 == 0, 300_001).otherwise(F.lit(300_000))
+    model = F.when(F.col("event_id") % 7 == 0, "other").otherwise(F.col("event_type"))
+    requests = e.where("event_id % 10 <> 0").select("event_id", external, (F.col("at_ms") + off).alias("created_at"), model.alias("model"), "key_id", *spent)
+    again = requests.where("event_id % 4 = 1").withColumn("output_tokens", F.when(F.col("event_id") % 8 == 1, F.lit(9).cast("long")).otherwise(F.col("output_tokens")))
+    return archive.correlate(records, requests.unionByName(again))
 
 
-CORRELATION_SQL = f"""{EVENTS_CTE}, q AS (SELECT event_id % 4000 AS x, at_ms + CASE WHEN event_id % 5 = 0 THEN 300001 ELSE 300000 END AS t, CASE WHEN event_id % 7 = 0 THEN 'other' ELSE event_type END AS m, key_id AS k FROM e WHERE event_id % 10 <> 0),
-c AS (SELECT event_id AS record_id, count(q.x) AS same, count(*) FILTER (WHERE abs(q.t - e.at_ms) <= 300000 AND q.m IN (e.event_type, 'view') AND q.k = e.key_id) AS matches FROM e LEFT JOIN q ON q.x = e.event_id % 4000 WHERE event_id % 3 <> 0 GROUP BY 1)
-SELECT record_id, matches, CASE WHEN matches = 1 THEN 'exact' WHEN matches > 1 THEN 'ambiguous' WHEN same > 0 THEN 'incompatible' ELSE 'absent' END AS disposition FROM c"""
+CORRELATION_SQL = f"""{EVENTS_CTE}, q AS (SELECT event_id // 3 AS x, at_ms + CASE WHEN event_id % 5 = 0 THEN 300001 ELSE 300000 END AS t,
+    CASE WHEN event_id % 7 = 0 THEN 'other' ELSE event_type END AS m, key_id AS k, event_id % 7 AS i, event_id % 3 AS o, event_id FROM e WHERE event_id % 10 <> 0),
+r AS (SELECT * FROM q UNION ALL SELECT * REPLACE (CASE WHEN event_id % 8 = 1 THEN 9 ELSE o END AS o) FROM q WHERE event_id % 4 = 1),
+p AS (SELECT e.event_id AS record_id, x, abs(t - at_ms) <= 300000 AND m IN (event_type, 'view') AND k = key_id AS fits, i = e.event_id % 7 AND o = e.event_id % 3 AS alike
+  FROM e LEFT JOIN r ON x = e.event_id // 3),
+c AS (SELECT record_id, count(x) AS same, count(*) FILTER (WHERE fits) AS matches, count(*) FILTER (WHERE fits AND alike) AS alike FROM p GROUP BY 1)
+SELECT record_id, matches, CASE WHEN matches = 1 OR (matches > 1 AND alike = 1) THEN 'exact' WHEN matches > 1 THEN 'ambiguous' WHEN same > 0 THEN 'incompatible' ELSE 'absent' END AS disposition FROM c"""
 
 
 def identities(spark, sf_dir):
@@ -169,11 +177,24 @@ LOCATORS = "WITH d AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'gap://usage
 def storage_classes(spark, sf_dir):
     h = F.sha2("text", 256)
     two = F.substr(h, F.lit(1), F.lit(2))
-    n = F.col("doc_id") % 5
-    key = F.when(n == 0, F.concat(F.lit("objects/sha256/"), two, F.lit("/"), h)).when(n == 1, F.concat(F.lit("tenants/t/cas/v1/sha256/"), two, F.lit("/"), h)).when(n == 2, "manifests/x").when(n == 3, "staging/y").otherwise(F.concat(F.lit("objects/sha256/"), h))
+    n = F.col("doc_id") % 7
+    names = ["raw-cache/", "tenants/t/cas/v1/sha256/", "tenants/t/other/", "staging/", "conversation-staging/", "readiness/", "objects/sha256/"]
+    prefix = F.element_at(F.array(*[F.lit(x) for x in names]), (n + 1).cast("int"))
+    key = F.concat(prefix, two, F.lit("/"), h)
     return tables.read(spark, sf_dir, "documents").groupBy(graph.storage_class(key).alias("class")).agg(F.count("*").alias("n"), F.count_if(is_hex64(h)).alias("hex"))
 
 
+def _multiset_sql() -> str:
+    """Sums of eight 32-bit parts, carried on by hand: HUGEINT holds each."""
+    parts = ", ".join(f"sum(CAST('0x' || substr(d, {57 - 8 * k}, 8) AS HUGEINT)) AS s{k}" for k in range(8))
+    carried = ["s0 AS t0"] + [f"s{k} + (t{k - 1} >> 32) AS t{k}" for k in range(1, 8)]
+    sql = f"SELECT count(*) AS rows, {parts} FROM (SELECT sha256(coalesce(text, '')) AS d FROM documents) t"
+    for step in carried:
+        sql = f"SELECT *, {step} FROM ({sql}) t"
+    digits = " || ".join(f"lpad(lower(to_hex(CAST(t{k} % 4294967296 AS BIGINT))), 8, '0')" for k in reversed(range(8)))
+    return f"SELECT rows, {digits} AS digest FROM ({sql}) t"
+
+
 def multiset_digest(spark, sf_dir):
     return graph.multiset_digest(tables.read(spark, sf_dir, "documents").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("d")), "d")
 
@@ -216,7 +237,8 @@ ORACLE_SQL = {
     "foreign_edges": f"{EVENTS_CTE} SELECT event_id AS id, CASE WHEN event_id % 50 = 0 OR (event_id - 1) % 50 = 0 THEN 'missing end' ELSE 'cross tenant' END AS reason FROM e WHERE event_id > 0 AND (event_id % 50 = 0 OR (event_id - 1) % 50 = 0 OR (event_id % 17 = 0) <> ((event_id - 1) % 17 = 0))",
     "locator_classes": "SELECT 'document' AS kind, CASE WHEN doc_id % 6 = 0 THEN 'gap' ELSE CASE WHEN text IS NULL THEN 'missing' ELSE 'content' END END AS class, count(*) AS n FROM documents GROUP BY ALL UNION ALL SELECT 'page', CASE WHEN page_id % 4 = 0 THEN 'inline' ELSE 'missing' END, count(*) FROM pages GROUP BY ALL",
     "gap_candidates": f"{LOCATORS} SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 6 = 0 THEN 'gap' ELSE 'object absent' END AS reason FROM d WHERE doc_id % 6 = 0 OR (locator IS NOT NULL AND locator NOT IN (SELECT locator FROM d WHERE doc_id % 7 <> 0 AND locator IS NOT NULL))",
-    "storage_classes": "SELECT CASE doc_id % 5 WHEN 0 THEN 'content' WHEN 1 THEN 'tenant content' WHEN 2 THEN 'manifest' WHEN 3 THEN 'staging' ELSE 'other' END AS class, count(*) AS n, count(*) AS hex FROM documents GROUP BY 1",
+    "storage_classes": """SELECT CASE doc_id % 7 WHEN 0 THEN 'cache_candidate_requires_reference_and_retention_proof' WHEN 1 THEN 'protected_training_or_shared_cas' WHEN 3 THEN 'staging_requires_owner_fence'
+  WHEN 4 THEN 'staging_requires_owner_fence' WHEN 5 THEN 'readiness_requires_owner_fence' ELSE 'unclassified_protected' END AS class, count(*) AS n, count(text) AS hex FROM documents GROUP BY 1""",
     "shards": "SELECT CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 16 AS BIGINT) AS shard, count(*) AS n FROM orders GROUP BY 1",
-    "chunk_problems": CHUNK_SQL,
+    "chunk_problems": CHUNK_SQL, "multiset_digest": _multiset_sql(),
 }

@@ -71,11 +71,12 @@ def refund_rebuild(spark, sf_dir):
 
 
 def refund_verify(spark, sf_dir):
-    """Touched keys whose lowered rollup is not the rebuilt one: none."""
+    """Touched keys whose lowered rollup is not the rebuilt one: a fault is planted on every fifth day."""
     facts, entries = tables.view(spark, sf_dir, FACTS, "orders"), _plan(spark, sf_dir)
     keys = ["key_id", "day_bucket"]
     at_rest = facts.withColumn("day_bucket", F.floor(F.col("created_at") / DAY_MS).cast("long")).groupBy(*keys).agg(F.sum("cost_micros").cast("long").alias("cost_micros"))
     lowered = refunds.lowered(at_rest, entries, keys).join(refunds.deltas(entries, keys).select(*keys), keys, "left_semi")
+    lowered = lowered.withColumn("cost_micros", F.when(F.col("day_bucket") % 5 == 0, F.col("cost_micros") + 3).otherwise(F.col("cost_micros")))
     return refunds.mismatches(refunds.rebuilt(facts, entries, keys), lowered, keys, "cost_micros")
 
 
@@ -129,7 +130,7 @@ def set_cover(spark, sf_dir):
     return inventory.cover(n.where("k > 3"), s.distinct(), ["k"])
 
 
-MODELS = "SELECT CAST(p_partkey AS STRING) AS model_id, p_name AS name, p_brand AS prefix, p_type AS kind FROM {part} WHERE p_partkey % 3 = 0 AND p_partkey < 400"
+MODELS = "SELECT CAST(p_partkey AS STRING) AS model_id, p_name AS name, p_brand AS prefix, p_type AS kind FROM {part} WHERE p_partkey % 3 = 0"
 GRANTS = "SELECT CAST(p_partkey % 40 AS STRING) AS key_hash, p_name || CASE WHEN p_partkey % 10 = 0 THEN '!' ELSE '' END AS model, p_brand AS prefix FROM {part}"
 GRANTS_SQL = f"""WITH models AS ({duck(MODELS)}), grants AS ({duck(GRANTS)}), one AS (SELECT name, count(*) AS n, min(model_id) AS only_id FROM models GROUP BY 1),
 resolved AS (SELECT g.*, coalesce(m.model_id, CASE WHEN n = 1 THEN only_id END) AS model_id, CASE WHEN m.model_id IS NOT NULL THEN 'exact' WHEN n = 1 THEN 'unique' WHEN n > 1 THEN 'ambiguous' ELSE 'unmatched' END AS resolution FROM grants g LEFT JOIN models m ON m.name = g.model AND m.prefix = g.prefix LEFT JOIN one ON one.name = g.model)"""
@@ -212,7 +213,9 @@ ORACLE_SQL = {
     "refund_deltas": f"{CLASSIFIED} SELECT key_id, created_at // {DAY_MS} AS day_bucket, CAST(sum(cost_micros) AS BIGINT) AS refund_micros, count(*) AS refunds FROM entries GROUP BY 1, 2",
     "refund_apply": f"{CLASSIFIED} SELECT account_id, count(*) AS entries, CAST(sum(amount_micros) AS BIGINT) AS balance_micros FROM (SELECT account_id, amount_micros FROM ledger UNION ALL SELECT account_id, cost_micros FROM entries) t GROUP BY 1",
     "refund_rebuild": f"{CLASSIFIED} SELECT f.key_id, f.created_at // {DAY_MS} AS day_bucket, CAST(sum(f.cost_micros - coalesce(e.cost_micros, 0)) AS BIGINT) AS cost_micros FROM facts f LEFT JOIN entries e ON e.id = f.request_id GROUP BY 1, 2 HAVING count(e.id) > 0",
-    "refund_verify": "SELECT CAST(NULL AS VARCHAR) AS key_id, CAST(NULL AS BIGINT) AS day_bucket, CAST(NULL AS BIGINT) AS expected, CAST(NULL AS BIGINT) AS actual WHERE false",
+    "refund_verify": f"""{CLASSIFIED} SELECT key_id, day_bucket, cost AS expected, cost + 3 AS actual FROM (
+  SELECT f.key_id, f.created_at // {DAY_MS} AS day_bucket, CAST(sum(f.cost_micros - coalesce(e.cost_micros, 0)) AS BIGINT) AS cost FROM facts f LEFT JOIN entries e ON e.id = f.request_id
+  GROUP BY 1, 2 HAVING count(e.id) > 0) t WHERE day_bucket % 5 = 0""",
     "three_way": THREE_WAY_SQL,
     "audit": f"SELECT {AUDIT} FROM ({duck(REQUESTS)}) t",
     "receipt": f"""SELECT '{{"failed":"' || failed || '","free":"' || free || '","rows":"' || rows || '","unfinished":"' || unfinished || '"}}' AS receipt FROM (SELECT {AUDIT} FROM ({duck(REQUESTS)}) t) u""",

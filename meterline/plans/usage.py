@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.scalars import DAY_MS, HOUR_MS
+from meterline.functions.scalars import DAY_MS, HOUR_MS, uuid_of
 from meterline.operators import load, rating, rollups
 from meterline.sources import tables
 from meterline.sources.tables import duck
@@ -92,11 +92,13 @@ UNION ALL SELECT 'service', model, 'ambiguous name' FROM (SELECT model, unnest([
 
 
 def _staged(spark, sf_dir):
-    """Rated events with copies, later copies and copies of another payload."""
-    rows = rated(spark, sf_dir).select("event_hash", "timestamp_ms", "api_key_hash", "provider", "model", "failed", "fail_status_code", "latency_ms", "normalized_total_input_tokens", "normalized_cache_read_tokens", "normalized_cache_creation_tokens", "output_tokens", "applied_service_tier", "cost_micros")
-    later = rows.where("event_hash LIKE '0%'").withColumn("timestamp_ms", F.col("timestamp_ms") + 1000)
-    other = rows.where("event_hash LIKE 'ff%'").withColumn("output_tokens", F.col("output_tokens") + 1)
-    return load.with_digest(rows.unionByName(rows.where("event_hash LIKE '1%'")).unionByName(later).unionByName(other))
+    """Rated events with copies, later copies and copies of another payload. Events are rated once; copies are made of what came out."""
+    rows = rated(spark, sf_dir).select("event_hash", F.concat(F.lit("q"), "event_hash").alias("request_id"), "timestamp_ms", "api_key_hash", "provider", "model", "failed", "fail_status_code", "latency_ms", "normalized_total_input_tokens", "normalized_cache_read_tokens", "normalized_cache_creation_tokens", "output_tokens", "applied_service_tier", "cost_micros")
+    kinds = [F.lit("as is"), *[F.when(F.col("event_hash").startswith(p), F.lit(kind)) for p, kind in (("1", "again"), ("0", "later"), ("ff", "other"))]]
+    copies = rows.withColumn("_copy", F.explode(F.array_compact(F.array(*kinds))))
+    copies = copies.withColumn("timestamp_ms", F.when(F.col("_copy") == "later", F.col("timestamp_ms") + 1000).otherwise(F.col("timestamp_ms")))
+    copies = copies.withColumn("output_tokens", F.when(F.col("_copy") == "other", F.col("output_tokens") + 1).otherwise(F.col("output_tokens")))
+    return load.with_digest(copies.drop("_copy"))
 
 
 STAGED_SQL = """, staged AS (SELECT event_hash, timestamp_ms, api_key_hash, provider, model, failed, fail_status_code, latency_ms, normalized_total_input_tokens, normalized_cache_read_tokens, normalized_cache_creation_tokens, output_tokens, applied_service_tier, cost_micros FROM rated),
@@ -112,18 +114,26 @@ def load_duplicates(spark, sf_dir):
 
 
 def _accepted(spark, sf_dir):
-    """Canonical rows of events that do not conflict; a later copy of the same event is no conflict here."""
-    staged = _staged(spark, sf_dir).where("event_hash NOT LIKE 'ff%'")
-    return load.canonical(staged)
+    """Canonical rows of events that came with one payload at any one time; a later copy takes the place of an earlier one."""
+    staged = _staged(spark, sf_dir)
+    apart = staged.groupBy("event_hash", "timestamp_ms").agg(F.countDistinct("source_digest").alias("n")).where("n > 1").select("event_hash")
+    return load.canonical(staged.join(apart, "event_hash", "left_anti"))
 
 
-ACCEPTED_SQL = STAGED_SQL + """, canonical AS (SELECT * FROM (SELECT DISTINCT * FROM copies WHERE event_hash NOT LIKE 'ff%') QUALIFY row_number() OVER (PARTITION BY event_hash ORDER BY timestamp_ms DESC) = 1)"""
+def _held(spark, sf_dir):
+    """Requests that an earlier load claimed: those of events with low hashes. Their ids follow from the hash alone."""
+    hashes = tables.usage(spark, sf_dir).where("event_hash < '5'").select("event_hash")
+    return hashes.select(uuid_of(F.concat_ws(":", F.lit("request"), F.lit(TENANT), F.lit(SOURCE), "event_hash")).alias("id"))
+
+
+ACCEPTED_SQL = STAGED_SQL + """, apart AS (SELECT event_hash FROM copies GROUP BY event_hash, timestamp_ms HAVING count(DISTINCT output_tokens) > 1),
+canonical AS (SELECT * FROM (SELECT DISTINCT * FROM copies WHERE event_hash NOT IN (SELECT event_hash FROM apart)) QUALIFY row_number() OVER (PARTITION BY event_hash ORDER BY timestamp_ms DESC) = 1)"""
 
 
 def load_requests(spark, sf_dir):
     """Requests that are new after events of every third hash were loaded before."""
     new = load.requests(_accepted(spark, sf_dir), TENANT, SOURCE)
-    return load.claim(new, new.where("event_hash < '5'").select("id", "created_at", "tenant_id", "key_id")).drop("request_object", "tenant_id", "session_id")
+    return load.claim(new, _held(spark, sf_dir)).drop("request_object", "tenant_id", "session_id")
 
 
 LOAD_REQUESTS_SQL = f""" SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id, api_key_hash AS key_id, timestamp_ms AS created_at, timestamp_ms + latency_ms AS completed_at,
@@ -134,7 +144,17 @@ LOAD_REQUESTS_SQL = f""" SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5
 
 
 def load_checkpoint(spark, sf_dir):
-    return load.checkpoint(_accepted(spark, sf_dir), 1, "", 7)
+    """After a load of which the low hashes had been claimed before."""
+    accepted = _accepted(spark, sf_dir)
+    return load.checkpoint(accepted, load.claim(load.requests(accepted, TENANT, SOURCE), _held(spark, sf_dir)), 1, "", 7)
+
+
+def load_changed(spark, sf_dir):
+    """Canonical events that were imported before under another digest; every seventh link has one."""
+    rows = load.canonical(_staged(spark, sf_dir))
+    code = F.conv(F.substr("event_hash", F.lit(1), F.lit(7)), 16, 10).cast("long")
+    links = rows.where("event_hash < '8'").select("event_hash", F.when(code % 7 == 0, "x").when(code % 7 == 1, "").otherwise(F.col("source_digest")).alias("source_digest"))
+    return load.changed_since(rows, links)
 
 
 def load_window(spark, sf_dir):
@@ -254,7 +274,7 @@ WITH_RATED = "WITH " + rated_sql()
 WITH_LEDGER = f"WITH ledger AS ({duck(LEDGER)})"
 QUERIES = {
     "rated_daily_rollup": rated_daily_rollup, "rated_events": rated_events, "rating_errors": rating_errors, "price_violations": price_violations, "load_conflicts": load_conflicts, "load_duplicates": load_duplicates,
-    "load_requests": load_requests, "load_checkpoint": load_checkpoint, "load_window": load_window, "load_upsert": load_upsert, "usage_daily": usage_daily, "request_daily": request_daily, "analysis_hourly": analysis_hourly,
+    "load_requests": load_requests, "load_changed": load_changed, "load_checkpoint": load_checkpoint, "load_window": load_window, "load_upsert": load_upsert, "usage_daily": usage_daily, "request_daily": request_daily, "analysis_hourly": analysis_hourly,
     "analysis_daily": analysis_daily, "analysis_daily_of_facts": analysis_daily_of_facts, "rollup_merge": rollup_merge, "generation_hourly": generation_hourly, "sessions": sessions, "session_hourly": session_hourly,
     "session_daily": session_daily, "budgets": budgets, "budget_daily": budget_daily, "rolling_use": rolling_use, "used_before_grants": used_before_grants,
 }
@@ -267,7 +287,8 @@ ORACLE_SQL = {
     "load_conflicts": f"{WITH_RATED}{STAGED_SQL} SELECT event_hash, count(*) AS copies, (SELECT 0) + count(DISTINCT (timestamp_ms, output_tokens)) AS payloads FROM copies GROUP BY 1 HAVING count(DISTINCT (timestamp_ms, output_tokens)) > 1",
     "load_duplicates": f"{WITH_RATED}{STAGED_SQL} SELECT count(*) AS staged, count(DISTINCT event_hash) AS events, count(*) - count(DISTINCT event_hash) AS duplicates FROM copies",
     "load_requests": f"{WITH_RATED}{ACCEPTED_SQL}{LOAD_REQUESTS_SQL}",
-    "load_checkpoint": f"{WITH_RATED}{ACCEPTED_SQL} SELECT max(timestamp_ms) AS watermark_ms, arg_max(event_hash, (timestamp_ms, event_hash)) AS watermark_event, count(*) + 7 AS loaded FROM canonical",
+    "load_changed": f"WITH usage AS ({duck(tables.NORMALISED)}) SELECT DISTINCT event_hash FROM usage WHERE event_hash < '8' AND CAST('0x' || substr(event_hash, 1, 7) AS BIGINT) % 7 = 0",
+    "load_checkpoint": f"{WITH_RATED}{ACCEPTED_SQL} SELECT max(timestamp_ms) AS watermark_ms, arg_max(event_hash, (timestamp_ms, event_hash)) AS watermark_event, count(*) FILTER (WHERE event_hash >= '5') + 7 AS loaded FROM canonical",
     "load_window": f"WITH usage AS ({duck(tables.NORMALISED)}) SELECT api_key_hash, count(*) AS n, min(timestamp_ms) AS first_ms FROM usage WHERE timestamp_ms >= 940000000000 - 86400000 GROUP BY 1",
     "load_upsert": LOAD_UPSERT_SQL,
     "usage_daily": USAGE_DAILY_SQL, "rollup_merge": USAGE_DAILY_SQL,

@@ -71,6 +71,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Tables that grow with the data.
+LARGE = ("lineitem", "events", "orders", "documents")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores where it comes in fewer splits than there are; a table of many files is left as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_checkpoints(spark: SparkSession) -> None:
     """Checkpoints go to the folder that spark.checkpoint.dir names.
 
@@ -88,7 +98,7 @@ def shared_checkpoints(spark: SparkSession) -> None:
 def view(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     """A view's SELECT over the driver's tables, in Spark."""
     sql = sql.replace("{usage}", USAGE).replace("{ms}", EVENTS_MS["spark"]).replace("{days}", DAYS["spark"])
-    return spark.sql(sql, **{t: read(spark, sf_dir, t) for t in tables})
+    return spark.sql(sql, **{t: spread(read(spark, sf_dir, t)) if t in LARGE else read(spark, sf_dir, t) for t in tables})
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:

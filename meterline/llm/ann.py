@@ -21,18 +21,16 @@ class Centroids:
     points: np.ndarray
     links: np.ndarray
 
-    def nearest(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """For unit vectors x the places and cosines of about the `width` nearest centroids, best first.
-
-        Best-first search for all of x at once: the best centroid of each row not looked at yet has its links
-        scored; a row ends when nothing in its beam is left to look at. Small sets are scored whole.
+    def nearest(self, x: np.ndarray, width: int, rows: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """For unit vectors x the places and cosines of about the `width` nearest centroids (all, if fewer), best first."""
+        parts = [self._search(x[k : k + rows], min(width, len(self.points))) for k in range(0, len(x), rows)]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def _search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Best-first search for all of x at once: the best centroid of each row not looked at yet has its links
+        scored; a row ends when nothing in its beam is left to look at.
         """
-        k = len(self.points)
-        if k <= 2 * width:
-            cosines = x @ self.points.T
-            order = np.argsort(-cosines, axis=1, kind="stable")[:, :width]
-            return order, np.take_along_axis(cosines, order, 1)
-        n = len(x)
+        k, n = len(self.points), len(x)
         entry = np.linspace(0, k - 1, width).astype(int)
         beam = np.repeat(entry[None], n, 0)
         score = x @ self.points[entry].T
@@ -51,9 +49,11 @@ class Centroids:
             new = self.links[beam[live, at]]
             fresh = ~seen[live[:, None], new]
             seen[live[:, None], new] = True
+            # a centroid that two links of one row lead to counts once
+            fresh &= ~(np.tril(new[:, :, None] == new[:, None, :], -1) & fresh[:, None, :]).any(2)
             cosines = np.where(fresh, np.einsum("nd,nld->nl", x[live], self.points[new]), -np.inf)
             all_beam, all_score = np.hstack([beam[live], new]), np.hstack([score[live], cosines])
-            all_open = np.hstack([opened[live], np.zeros_like(fresh)])
+            all_open = np.hstack([opened[live], ~fresh])
             best = np.argsort(-all_score, axis=1, kind="stable")[:, :width]
             beam[live], score[live], opened[live] = (np.take_along_axis(a, best, 1) for a in (all_beam, all_score, all_open))
         return beam, score
@@ -65,6 +65,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _in_blocks(x: np.ndarray, points: np.ndarray, of, rows: int = 1024) -> np.ndarray:
+    """What `of` makes of the cosines of rows of x with all points, some rows at a time: no matrix of all of them is made."""
+    return np.concatenate([of(x[k : k + rows] @ points.T) for k in range(0, len(x), rows)])
+
+
 def balanced_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, degree: int = 24) -> Centroids:
     """k-means on unit vectors with a growing price for full lists, and the graph of nearest centroids."""
     rng = np.random.default_rng(7)
@@ -73,7 +78,7 @@ def balanced_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, degre
     points = x[rng.choice(len(x), n_lists, replace=False)]
     price = np.zeros(n_lists)
     for _ in range(rounds):
-        own = np.argmax(x @ points.T - price, axis=1)
+        own = _in_blocks(x, points, lambda c: np.argmax(c - price, axis=1))  # noqa: B023
         sizes = np.bincount(own, minlength=n_lists)
         price += 0.02 * (sizes / max(1, len(x) / n_lists) - 1)
         sums = np.zeros_like(points)
@@ -81,7 +86,7 @@ def balanced_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, degre
         empty = np.abs(sums).max(axis=1) < 1e-12
         sums[empty] = x[rng.choice(len(x), int(empty.sum()))]
         points = unit(sums)
-    links = np.argsort(-(points @ points.T), axis=1, kind="stable")[:, 1 : degree + 1]
+    links = _in_blocks(points, points, lambda c: np.argsort(-c, axis=1, kind="stable")[:, 1 : degree + 1])
     far = rng.integers(0, n_lists, (n_lists, 4))  # some long links keep the graph in one piece
     return Centroids(points, np.hstack([links, far]))
 

@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import ann
 from tests.llm.edge import empty, folder
@@ -46,3 +48,26 @@ def test_edges(spark, tmp_path_factory):
     assert ann.nearest_neighbours(empty(df), df.vec_id > 0).count() == 0
     few = df.where("vec_id < 3")
     assert ann.nearest_neighbours(few, few.vec_id == 0).count() == 2
+
+
+def test_recall_over_many_lists(spark):
+    """Against brute force where the graph and the pruning act: 300 lists, clusters, plain noise, and a third of all rows in one group."""
+    rng = np.random.default_rng(3)
+    n, width = 60_000, 32
+    centres = rng.normal(size=(400, width))
+    x = centres[rng.integers(0, 400, n)] + 0.6 * rng.normal(size=(n, width))
+    x[: n // 3] = centres[0] + 0.3 * rng.normal(size=(n // 3, width))  # one hot group
+    x[n // 3 : n // 2] = rng.normal(size=(n // 2 - n // 3, width))  # no clusters at all
+    x = x[rng.permutation(n)]
+    arrow = pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.array(list(x.astype(np.float64)), pa.list_(pa.float64()))})
+    got = ann.nearest_neighbours(spark.createDataFrame(arrow), F.col("vec_id") % 50 == 0, list_rows=200).toPandas()
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    queries = np.arange(0, n, 50)
+    cosines = units[queries] @ units.T
+    cosines[np.arange(len(queries)), queries] = -2
+    best = np.argpartition(-cosines, 5, axis=1)[:, :5]
+    found = got.groupby("query_id")["vec_id"].agg(set)
+    recall = np.mean([len(set(b) & found.get(q, set())) / 5 for q, b in zip(queries.tolist(), best.tolist())])
+    print("recall at 5 over 300 lists:", recall)
+    assert (got.groupby("query_id").size() == 5).all() and len(found) == len(queries)
+    assert recall >= 0.9

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import blocks
 from meterline.llm.components import components
-from meterline.llm.tables import read, written
+from meterline.llm.tables import LOWER_SQL, WORDS_SQL, read, written
 
 WIDTH = 5
 MESSAGE = "kind int, to long, of long, x binary, y binary"
@@ -692,3 +692,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+OP9_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS_SQL.format(text=LOWER_SQL.format(text="text"))} AS ws FROM documents),
+shingles AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < {WIDTH} THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - {WIDTH - 2}), lambda i: array_to_string(ws[i : i + {WIDTH - 1}], ' ')) END) AS s FROM d) t),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON x = d.doc_id"""

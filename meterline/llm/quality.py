@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.tables import boxed, read, with_field, words_of
+from meterline.llm.tables import WORDS_SQL, boxed, read, with_field, words_of
 
 BREAK = r"[\x20\x09-\x0D]"
 #: Signs that close a sentence, perhaps before a closing quote or bracket.
@@ -146,3 +146,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("kept")).alias("kept"),
     )
+
+
+def _line_fails_sql() -> str:
+    """line_fails() for a line l with words in ws, in DuckDB; its dot takes other line breaks than Java's, so classes stand for it."""
+    any_, end = r"[^\n\r\x{85}\x{2028}\x{2029}]*", r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?$"
+    bar = "[|»›•]"
+    closed = CLOSED.removesuffix("$").replace("'", "''") + end
+    phrases = " OR ".join(f"contains(lower(l), '{p}')" for p in BOILERPLATE)
+    return rf"""(NOT regexp_matches(right(rtrim(l, ' '), 4), '{closed}') AND len(ws) < 10)
+    OR (NOT regexp_matches(l, '\p{{Ll}}') AND regexp_matches(l, '\p{{Lu}}') AND len(ws) >= 5) OR regexp_matches(l, '{bar}{any_}{bar}{any_}{bar}')
+    OR len(regexp_extract_all(l, '{SYMBOL}')) * 4 > length(regexp_replace(l, '{BREAK}', '', 'g')) OR (({phrases}) AND len(ws) < {PROSE_WORDS})"""
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS_SQL.format(text="text")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i : i + {WINDOW - 1}], ' ') AS s FROM (SELECT *, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d) t),
+again AS (SELECT doc_id, s FROM windows GROUP BY 1, 2 HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows JOIN again USING (doc_id, s), range(0, {WINDOW}) r(k) GROUP BY 1),
+lines AS (SELECT doc_id, l, {WORDS_SQL.format(text="l")} AS ws, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM d) t),
+judged AS (SELECT doc_id, l, len(ws) > 0 AS worded, len(ws) = 0 OR NOT ({_line_fails_sql()}) AS stays FROM lines),
+per AS (SELECT doc_id, count(*) FILTER (WHERE worded) - count(DISTINCT l) FILTER (WHERE worded) AS n_dup_lines, bool_and(stays) AS whole,
+  coalesce(sum(length(regexp_replace(l, '{BREAK}', '', 'g'))) FILTER (WHERE stays), 0) AS chars_left FROM judged GROUP BY 1),
+stats AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '{BREAK}', '', 'g')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words, len(ws) < 20 OR 100 * coalesce(n, 0) > 30 * len(ws) AS base_failed, whole, chars_left FROM d JOIN per USING (doc_id) LEFT JOIN covered USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND n_words > 0 AND (whole OR chars_left >= word_chars * 0.5) AS kept FROM stats"""

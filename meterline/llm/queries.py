@@ -16,4 +16,10 @@ QUERIES = {
     "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
     "op10_quality_rules": quality.op10_quality_rules,
 }
-ORACLE_SQL = {"op1_chat_format": chat.OP1_SQL, "op8_mix_sources": mixing.OP8_SQL}
+ORACLE_SQL = {
+    "op1_chat_format": chat.OP1_SQL,
+    "op2_substring_dedup": substring.OP2_SQL,
+    "op8_mix_sources": mixing.OP8_SQL,
+    "op9_ngram_jaccard": ngram_join.OP9_SQL,
+    "op10_quality_rules": quality.OP10_SQL,
+}

@@ -73,12 +73,12 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
         self.schema = f"blob string, rules_version string, spans {SPAN}"
+        self.append(spark.range(0).selectExpr("CAST(NULL AS string) AS blob", "CAST(NULL AS string) AS rules_version", f"CAST(NULL AS {SPAN}) AS spans"))
 
     def append(self, rows: DataFrame) -> None:
         rows.select("blob", "rules_version", "spans").write.mode("append").parquet(self.path)
 
     def rows(self) -> DataFrame:
-        self.spark.createDataFrame([], self.schema).write.mode("append").parquet(self.path)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def under(self, rules_version: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import blocks
-from meterline.llm.tables import read
+from meterline.llm.tables import WORDS_SQL, read
 
 WINDOW = 13
 FACTORS = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("block", pa.int64())]))
@@ -238,3 +238,14 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL.format(text="text")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i : i + {WINDOW - 1}], ' ') AS s FROM (SELECT *, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d) t),
+first AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN first USING (s), range(0, {WINDOW}) r(k) WHERE first_id < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+kept AS (SELECT doc_id, count(g.at) AS n_removed, string_agg(w, ' ' ORDER BY words.i) FILTER (WHERE g.at IS NULL) AS text
+  FROM words LEFT JOIN (SELECT doc_id AS of, i AS at FROM gone) g ON g.of = doc_id AND g.at = words.i GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""

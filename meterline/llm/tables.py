@@ -45,3 +45,8 @@ def with_field(df: DataFrame, row, name: str, value):
 def words_of(text):
     """Array of the words `[^\\x20\\x09-\\x0D]+` of a string column, in order."""
     return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+
+
+#: For DuckDB: the words of documents, in order, and A-Z in lower case.
+WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LOWER_SQL = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

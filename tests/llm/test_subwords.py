@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -92,3 +93,14 @@ def test_counts_against_single_words(spark, tmp_path_factory, sf_dir, table):
     assert len(got) == len(want)
     known = {(i, n): t for i, n, t in want}
     assert all(known[i, n] in (t, None) for i, n, t in got)
+
+
+def test_unigram_scores_are_probabilities_near_the_files_own_counts(spark, sf_dir):
+    import sentencepiece
+
+    path = subwords.vocabulary_path("piece_bpe_32k.model")
+    assert abs(sum(math.exp(v) for v in token_counts.unigram_scores(path).values()) - 1) < 1e-9
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    own = {r.doc_id: len(model.encode(r.text or "")) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r.doc_id: r.n_tokens for r in token_counts.op3_token_counts(spark, sf_dir).collect()}
+    assert sum(abs(got[i] - n) for i, n in own.items()) < 0.02 * sum(own.values())

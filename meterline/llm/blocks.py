@@ -70,7 +70,8 @@ def chunks(docs: DataFrame, lay: Layout, view: Callable[[pa.Table], pa.Table] |
             block[bare] = bare % lay.n_blocks
             order = np.argsort(block, kind="stable")
             cut = np.flatnonzero(np.diff(block[order])) + 1
-            table = view(table) if view else table
+            if view:  # some rows at a time, as what it makes on the way is large
+                table = pa.concat_tables([view(table.slice(k, 1000)) for k in range(0, len(table), 1000)]).combine_chunks()
             parts = [x for x in np.split(order, cut) if len(x)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(block[x[0]]) for x in parts], pa.int64()), pa.array([packed(table.take(pa.array(x)).combine_chunks()) for x in parts], pa.binary())],

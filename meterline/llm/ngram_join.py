@@ -627,7 +627,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
-    lay = blocks.layout(docs, block_bytes=4 << 20)
+    lay = blocks.layout(docs, block_bytes=2 << 20)
     packed = blocks.chunks(docs, lay, lower_words).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,7 +75,9 @@ def bpe_words(path: str) -> WordIds:
         tokenizer = Tokenizer.from_file(path)
 
         def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            ids: list[list[int]] = []
+            for k in range(0, len(words), 1024):  # what the library makes of a word is large, so few are held at a time
+                ids += [x.ids for x in tokenizer.encode_batch_fast(words[k : k + 1024], add_special_tokens=False)]
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 

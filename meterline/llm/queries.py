@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.llm import ann, chat, decontamination, fill_in_middle, language_model, mixing, ngram_join, packing, quality, secret_scan, substring, token_counts
+from meterline.llm import ann, chat, collocations, decontamination, fill_in_middle, language_model, mixing, ngram_join, packing, quality, secret_scan, substring, token_counts
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_decontaminate": decontamination.op11_decontaminate,
+    "op12_collocations": collocations.op12_collocations,
     "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
 }
 ORACLE_SQL = {
@@ -25,5 +26,6 @@ ORACLE_SQL = {
     "op9_ngram_jaccard": ngram_join.OP9_SQL,
     "op10_quality_rules": quality.OP10_SQL,
     "op11_decontaminate": decontamination.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_fill_in_middle": fill_in_middle.OP13_SQL,
 }

@@ -272,10 +272,8 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP12_SQL = rf"""
-WITH pieces AS (SELECT coalesce(lang, '{UNKNOWN}') AS lang, unnest(regexp_split_to_array({LOWER_SQL.format(text="text")}, '[.,;:!?
-
-]')) AS p FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces),
+WITH pieces AS (SELECT coalesce(lang, '{UNKNOWN}') AS lang, unnest(regexp_split_to_array({LOWER_SQL.format(text="text")}, '[.,;:!?\n\x0b\f\r]+')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces),
 grams AS (SELECT lang, size, array_to_string(ws[i : i + size - 1], ' ') AS phrase FROM
   (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w, range(1, {LONGEST + 1}) z(size) WHERE len(ws) >= size) t),
 f AS (SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY 1, 2, 3),

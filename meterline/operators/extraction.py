@@ -1,15 +1,9 @@
-"""What archive records say: protocol, usage, errors and labels out of nested JSON, canonical JSON, record sets, and blobs put back in."""
+"""What archive records say: protocol, usage, errors and labels out of nested JSON, and record sets."""
 
 from __future__ import annotations
 
-import gzip
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 #: Parts of a label's key that mark it as a secret.
 SECRET_LIKE = ("authorization", "bearer", "cookie", "credential", "password", "private", "secret", "token", "api_key")
@@ -85,34 +79,6 @@ def in_overlap(started: Column, completed: Column, lower_ms: int) -> Column:
     return (started >= lower_ms) | (completed >= lower_ms)
 
 
-def _number(x: float) -> str:
-    if x != x or x in (float("inf"), float("-inf")):
-        raise ValueError("no number of JSON")
-    if x == int(x) and abs(x) < 1e21:
-        return str(int(x))
-    mantissa, _, exponent = repr(x).partition("e")
-    if exponent and -7 < int(exponent) < 0:
-        digits = mantissa.replace(".", "").replace("-", "")
-        return ("-" if x < 0 else "") + "0." + "0" * (-int(exponent) - 1) + digits
-    return mantissa.removesuffix(".0") + (f"e{'+' if int(exponent) > 0 else '-'}{abs(int(exponent))}" if exponent else "")
-
-
-def _canonical(value) -> str:
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{_canonical(k)}:{_canonical(value[k])}" for k in sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_canonical, value)) + "]"
-    if isinstance(value, float):
-        return _number(value)
-    return json.dumps(value, ensure_ascii=False)
-
-
-@pandas_udf(StringType())
-def canonical_json(text: pd.Series) -> pd.Series:
-    """JSON with sorted keys (by UTF-16 units), no spaces and the shortest numbers; null stays null. Spark's own to_json keeps the order of fields."""
-    return text.map(lambda t: None if t is None else _canonical(json.loads(t, parse_int=lambda n: int(n) if abs(int(n)) <= 2**53 else float(n))))
-
-
 def recordset(rows: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
     """One row for each object of a JSON array, under a given schema."""
     return rows.select(*keep, F.inline(F.from_json(F.col(column), f"array<struct<{schema}>>")))
@@ -122,29 +88,3 @@ def json_array(rows: DataFrame, by: list[str], order: str, *fields: str) -> Data
     """By group the JSON array of rows in the order of one column; null fields stay."""
     items = F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*fields).alias("row")))), lambda x: x["row"])
     return rows.groupBy(*by).agg(F.to_json(items, {"ignoreNullFields": "false"}).alias("rows"))
-
-
-@pandas_udf(StringType())
-def unzipped(body: pd.Series) -> pd.Series:
-    """The text of a gzip body."""
-    return body.map(lambda b: None if b is None else gzip.decompress(b).decode())
-
-
-def expand_blobs(rows: DataFrame, blobs: DataFrame, mark: str = "$blob", rounds: int = 8) -> DataFrame:
-    """rows (id, text) where every {"<mark>": "<hash>"} in text is replaced by the blob's text (hash, body in gzip), blobs in blobs too.
-
-    Each round joins all references that are left with the blobs; the depth of references bounds the rounds. What still
-    holds a reference after them, or names a blob that isn't there, keeps it and has complete = false.
-    """
-    pattern = r'\{"' + mark.replace("$", r"\$") + r'":"([0-9a-f]{64})"\}'
-    texts = blobs.select("hash", unzipped("body").alias("blob"))
-    for _ in range(rounds):
-        parts = rows.select("id", F.posexplode(F.split("text", pattern, -1)).alias("n", "part"), F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("refs"))
-        placed = parts.select("id", "n", "part", F.get("refs", F.col("n")).alias("hash")).join(texts, "hash", "left")
-        lost = F.concat(F.lit('{"' + mark + '":"'), "hash", F.lit('"}'))
-        piece = F.concat("part", F.when(F.col("hash").isNull(), "").otherwise(F.coalesce("blob", lost)))
-        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", piece.alias("piece")))), lambda x: x["piece"]), "")
-        rows = placed.groupBy("id").agg(joined.alias("text")).checkpoint()
-        if rows.where(F.col("text").rlike(pattern)).join(texts, F.regexp_extract("text", pattern, 1) == F.col("hash"), "left_semi").isEmpty():
-            break
-    return rows.select("id", "text", (~F.col("text").rlike(pattern)).alias("complete"))

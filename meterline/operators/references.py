@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.operators.ancestry import circular, reachable
+
 
 def receipt_outcome(receipts: DataFrame, current: DataFrame) -> DataFrame:
     """(tenant, request, outcome): a copy receipt against the row it copied: already, eligible or skipped.
@@ -75,27 +77,23 @@ def route_prefix(prefix: Column) -> Column:
     return F.when((bare != "") & ~F.contains(bare, F.lit("/")), bare)
 
 
-def closure(roots: DataFrame, references: DataFrame, objects: DataFrame, rounds: int = 64) -> DataFrame:
-    """All objects (id, tenant) that roots reach by references (from_id, to_id, digest), each once: (id, tenant, problem).
+def closure(roots: DataFrame, references: DataFrame, objects: DataFrame) -> DataFrame:
+    """All objects (id, tenant) that roots reach by references (from_id, to_id, digest), each once for a tenant: (id, tenant, problem).
 
-    problem tells of an object that is absent, of another tenant, or referred to under two digests. Each round follows the
-    references of what the round before found; it ends when nothing is new.
+    problem tells of an object that is absent, of another tenant, referred to under two digests, or from which its references lead
+    back to itself or into such a circle. Depth has no cap: see ancestry.reachable.
     """
+    edges = references.select("from_id", "to_id").distinct()
+    found = reachable(roots.select("id", "tenant"), edges)
     at = objects.select("id", F.col("tenant").alias("held_tenant"))
-    found = roots.select("id", "tenant").distinct().checkpoint()
-    new = found
-    for _ in range(rounds):
-        step = references.select(F.col("from_id").alias("id"), "to_id").join(new, "id").select(F.col("to_id").alias("id"), "tenant").distinct()
-        new = step.join(found, ["id", "tenant"], "left_anti").checkpoint()
-        if new.isEmpty():
-            break
-        found = found.unionByName(new).checkpoint()
-    else:
-        raise ValueError(f"references are more than {rounds} deep")
     digests = references.groupBy(F.col("to_id").alias("id")).agg(F.countDistinct("digest").alias("digests"))
-    both = found.join(at, "id", "left").join(digests, "id", "left")
-    problem = F.when(F.col("held_tenant").isNull(), "absent").when(F.col("held_tenant") != F.col("tenant"), "other tenant").when(F.col("digests") > 1, "two digests").otherwise("")
-    return both.select("id", "tenant", problem.alias("problem"))
+    circles = circular(edges).withColumn("circular", F.lit(True))
+    rows = found.join(at, "id", "left").join(digests, "id", "left").join(circles, "id", "left")
+    problem = (
+        F.when(F.col("held_tenant").isNull(), "absent").when(F.col("held_tenant") != F.col("tenant"), "other tenant").when(F.col("digests") > 1, "two digests")
+        .when(F.col("circular"), "circle").otherwise("")
+    )
+    return rows.select("id", "tenant", problem.alias("problem"))
 
 
 def clusters(observations: DataFrame, edges: DataFrame) -> DataFrame:

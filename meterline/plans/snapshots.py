@@ -203,16 +203,6 @@ def archive_overlap(spark, sf_dir):
     return e.where(extraction.in_overlap(F.col("at_ms"), F.col("done_ms"), 1_705_000_000_000)).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-def canonical_json(spark, sf_dir):
-    """Labels as JSON with fields out of order, nested objects, and numbers in more than one spelling."""
-    rows = tables.read(spark, sf_dir, "labels").select("doc_id", "quality")
-    text = F.concat(F.lit('{ "z": 1.0, "b": {"y": null, "A": ['), F.col("doc_id").cast("string"), F.lit(', 2.50, 1e3]}, "a": "\\u00e9", "q": '), F.when(F.col("quality") == 1, "true").otherwise("false"), F.lit("}"))
-    return rows.select("doc_id", extraction.canonical_json(text).alias("canonical"))
-
-
-CANONICAL_SQL = """SELECT doc_id, '{"a":"é","b":{"A":[' || doc_id || ',2.5,1000],"y":null},"q":' || CASE WHEN quality = 1 THEN 'true' ELSE 'false' END || ',"z":1}' AS canonical FROM labels"""
-
-
 def ordered_json(spark, sf_dir):
     """Customers of a nation as one JSON array in order, read back as rows."""
     rows = tables.read(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), F.col("c_custkey").cast("long").alias("id"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("name"))
@@ -305,22 +295,6 @@ def route_names(spark, sf_dir):
 ROUTE_NAMES_SQL = """SELECT CASE WHEN p_partkey % 6 < 3 THEN p_brand ELSE p_type END AS alias, CASE p_partkey % 6 WHEN 0 THEN 'team' WHEN 1 THEN '-' WHEN 2 THEN '-' WHEN 3 THEN '-' ELSE 'x' END AS prefix, count(*) AS n FROM part GROUP BY 1, 2"""
 
 
-def reference_closure(spark, sf_dir):
-    """Orders of some customers refer to others by halves of their keys; some are absent, foreign, or referred to twice unlike."""
-    tables.shared_checkpoints(spark)
-    o = tables.read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
-    objects = o.where("id % 29 <> 0").select("id", F.when(F.col("id") % 31 == 0, "b").otherwise("a").alias("tenant"))
-    half = F.floor(F.col("id") / 2)
-    refs = o.where("id > 1").select(F.col("id").alias("from_id"), half.alias("to_id"), F.when(F.col("id") % 37 == 0, "y").otherwise("x").alias("digest"))
-    return references.closure(o.where("id % 10 = 0").select("id", F.lit("a").alias("tenant")), refs, objects)
-
-
-CLOSURE_SQL = """WITH RECURSIVE f AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 10 = 0 UNION SELECT f.id // 2 FROM f JOIN orders ON o_orderkey = f.id WHERE f.id > 1),
-d AS (SELECT o_orderkey // 2 AS id, count(DISTINCT o_orderkey % 37 = 0) AS n FROM orders WHERE o_orderkey > 1 GROUP BY 1)
-SELECT f.id, 'a' AS tenant, CASE WHEN o_orderkey IS NULL OR f.id % 29 = 0 THEN 'absent' WHEN f.id % 31 = 0 THEN 'other tenant' WHEN n > 1 THEN 'two digests' ELSE '' END AS problem
-FROM f LEFT JOIN orders ON o_orderkey = f.id LEFT JOIN d ON d.id = f.id"""
-
-
 def clusters(spark, sf_dir):
     e = _events(spark, sf_dir)
     seen = e.select(F.col("event_id").alias("id"), (F.col("event_id") % 50).alias("key_id"), (F.col("event_id") % 350).alias("cluster_id"), F.when(F.col("event_id") % 3 == 0, F.col("key_id")).alias("session_id"), F.col("at_ms").alias("created_at"))
@@ -373,36 +347,12 @@ RESET_SQL = """SELECT * FROM (SELECT 'left' AS guard, count(*) FILTER (WHERE o_o
 UNION ALL SELECT 'open work', count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 = 0) t WHERE guard = 'left' OR rows > 0"""
 
 
-def expanded_blobs(spark, sf_dir):
-    """Lines that refer to blobs, which may refer to blobs again or be absent."""
-    tables.shared_checkpoints(spark)
-    d = tables.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    ref = lambda name: F.concat(F.lit('{"$blob":"'), F.sha2(name, 256), F.lit('"}'))
-    name = lambda p: F.concat(F.lit(p), F.col("id").cast("string"))
-    leaf = d.where("id % 5 <> 0").select(F.sha2(name("leaf"), 256).alias("hash"), F.concat(F.lit('"v'), "id", F.lit('"')).alias("text"))
-    tree = d.select(F.sha2(name("tree"), 256).alias("hash"), F.concat(F.lit("["), ref(name("leaf")), F.lit(",1]")).alias("text"))
-    blobs = leaf.unionByName(tree).select("hash", zipped("text").alias("body"))
-    rows = d.select("id", F.concat(F.lit('{"a":'), ref(name("tree")), F.lit(',"b":'), ref(name("leaf")), F.lit("}")).alias("text"))
-    return extraction.expand_blobs(rows, blobs).select("id", F.sha2("text", 256).alias("sha256"), "complete")
-
-
-def zipped(column):
-    import gzip
-
-    from pyspark.sql.functions import pandas_udf
-
-    return pandas_udf(lambda texts: texts.map(lambda t: gzip.compress(t.encode(), mtime=0)), "binary")(column)
-
-
-EXPANDED_SQL = """WITH d AS (SELECT doc_id AS id, CASE WHEN doc_id % 5 <> 0 THEN '"v' || doc_id || '"' ELSE '{"$blob":"' || sha256('leaf' || doc_id) || '"}' END AS leaf FROM documents)
-SELECT id, sha256('{"a":[' || leaf || ',1],"b":' || leaf || '}') AS sha256, id % 5 <> 0 AS complete FROM d"""
-
 QUERIES = {
     "ordered_digests": ordered_digests, "chained_digests": chained_digests, "session_set_digest": session_set_digest, "double_read": double_read, "beyond_clock": beyond_clock, "order_breaks": order_breaks,
     "seek_page": seek_page, "latest_page": latest_page, "chain_outcomes": chain_outcomes, "generations": generations, "recovery_preflight": recovery_preflight, "plan_problems": plan_problems,
-    "transition_problems": transition_problems, "archive_usage": archive_usage, "archive_labels": archive_labels, "archive_overlap": archive_overlap, "canonical_json": canonical_json, "ordered_json": ordered_json,
+    "transition_problems": transition_problems, "archive_usage": archive_usage, "archive_labels": archive_labels, "archive_overlap": archive_overlap, "ordered_json": ordered_json,
     "receipt_outcomes": receipt_outcomes, "read_back": read_back, "batch_report": batch_report, "provenance": provenance, "gap_replacements": gap_replacements, "route_names": route_names,
-    "reference_closure": reference_closure, "clusters": clusters, "cohorts": cohorts, "import_stats": import_stats, "capture_digests": capture_digests, "guarded_reset": guarded_reset, "expanded_blobs": expanded_blobs,
+    "clusters": clusters, "cohorts": cohorts, "import_stats": import_stats, "capture_digests": capture_digests, "guarded_reset": guarded_reset,
 }
 ORACLE_SQL = {
     "ordered_digests": f"{DIGESTS} SELECT * FROM d", "chained_digests": CHAINED_SQL, "session_set_digest": SET_SQL, "double_read": DOUBLE_READ_SQL,
@@ -411,7 +361,7 @@ ORACLE_SQL = {
     "latest_page": f"{EVENTS_CTE} SELECT event_id, at_ms, key_id, (SELECT count(*) FROM e) > 20 AS has_more FROM e ORDER BY at_ms DESC, event_id DESC LIMIT 20",
     "chain_outcomes": CHAIN_SQL, "generations": GENERATIONS_SQL, "recovery_preflight": PREFLIGHT_SQL, "plan_problems": PLAN_SQL, "transition_problems": TRANSITION_SQL, "archive_usage": ARCHIVE_USAGE_SQL,
     "archive_labels": ARCHIVE_LABELS_SQL, "archive_overlap": f"{EVENTS_CTE} SELECT event_type, count(*) AS n FROM e WHERE at_ms >= 1705000000000 OR at_ms + cents * 10000 >= 1705000000000 GROUP BY 1",
-    "canonical_json": CANONICAL_SQL, "ordered_json": ORDERED_JSON_SQL, "receipt_outcomes": RECEIPT_SQL, "read_back": READ_BACK_SQL, "batch_report": BATCH_SQL, "provenance": PROVENANCE_SQL,
-    "gap_replacements": GAP_SQL, "route_names": ROUTE_NAMES_SQL, "reference_closure": CLOSURE_SQL, "clusters": CLUSTERS_SQL, "cohorts": COHORTS_SQL, "import_stats": STATS_SQL,
-    "capture_digests": CAPTURE_SQL, "guarded_reset": RESET_SQL, "expanded_blobs": EXPANDED_SQL,
+    "ordered_json": ORDERED_JSON_SQL, "receipt_outcomes": RECEIPT_SQL, "read_back": READ_BACK_SQL, "batch_report": BATCH_SQL, "provenance": PROVENANCE_SQL,
+    "gap_replacements": GAP_SQL, "route_names": ROUTE_NAMES_SQL, "clusters": CLUSTERS_SQL, "cohorts": COHORTS_SQL, "import_stats": STATS_SQL,
+    "capture_digests": CAPTURE_SQL, "guarded_reset": RESET_SQL,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,34 @@ def uuid_of(text: Column, version: str = "5", variant: str = "a") -> Column:
     return F.concat_ws("-", *parts)
 
 
+def uuid8_of(text: Column) -> Column:
+    """A deterministic UUID string of version 8 out of the first 16 bytes of the SHA-256 digest of text."""
+    h = F.sha2(text, 256)
+    part = lambda at, n: F.substr(h, F.lit(at), F.lit(n))
+    variant = F.lower(F.hex(F.conv(part(17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)))
+    return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("8"), part(14, 3)), F.concat(variant, part(18, 3)), part(21, 12))
+
+
+def _pad(key: Column, byte: int) -> Column:
+    """64 bytes: the key, filled up with zeros, each byte xored with one value. key is binary of 64 bytes at most."""
+    digits = F.rpad(F.hex(key), 128, "0")
+    number = lambda i: F.conv(F.substr(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("int")
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.lpad(F.hex(number(i).bitwiseXOR(byte)), 2, "0")), ""))
+
+
+def hmac_sha256(key: Column | bytes, message: Column) -> Column:
+    """HMAC with SHA-256 in hex. A key given as bytes is xored once, when the plan is made; one in a column (binary or text) row by row."""
+    message = message.cast("binary")
+    if isinstance(key, bytes):
+        key = hashlib.sha256(key).digest() if len(key) > 64 else key
+        inner, outer = (F.lit(bytes(b ^ pad for b in key.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    else:
+        key = key.cast("binary")
+        short = F.when(F.octet_length(key) > 64, F.unhex(F.sha2(key, 256))).otherwise(key)
+        inner, outer = _pad(short, 0x36), _pad(short, 0x5C)
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
+
+
 def digest_of(*columns: Column | str) -> Column:
     """SHA-256 over the JSON of the columns, with nulls kept, so that fields cannot run into each other."""
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)

@@ -14,12 +14,6 @@ def cover(expected: DataFrame, actual: DataFrame, key: list[str]) -> DataFrame:
     return a.join(b, key, "full_outer").select(*key, reason.alias("reason")).where("reason IS NOT NULL")
 
 
-def wildcard(pattern, text):
-    """Whether text matches a pattern whose only sign is *, in either case."""
-    escaped = F.regexp_replace(F.lower(pattern), r"([\\.\[\]{}()+?^$|])", r"\\$1")
-    return F.rlike(F.lower(text), F.concat(F.lit("^"), F.replace(escaped, F.lit("*"), F.lit(".*")), F.lit("$")))
-
-
 def resolve_grants(grants: DataFrame, models: DataFrame) -> DataFrame:
     """Grants (key_hash, model, prefix) with the configured model (model_id, name, prefix): an exact prefix, else the only model of the name.
 

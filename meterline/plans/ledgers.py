@@ -165,17 +165,6 @@ def merged_routes(spark, sf_dir):
     return inventory.merge_routes(rows)
 
 
-def wildcard_matches(spark, sf_dir):
-    """Parts by the patterns of an alias list."""
-    patterns = spark.createDataFrame([("*RED*",), ("small *",), ("blue widget",), ("*(x)*",)], "pattern string")
-    parts = tables.read(spark, sf_dir, "part")
-    out = None
-    for (p,) in (("*RED*",), ("small *",), ("blue widget",), ("*(x)*",)):
-        part = parts.where(inventory.wildcard(F.lit(p), F.col("p_name"))).agg(F.count("*").alias("n")).select(F.lit(p).alias("pattern"), "n")
-        out = part if out is None else out.unionByName(part)
-    return patterns.join(out, "pattern").select("pattern", "n")
-
-
 TARGETS = "SELECT CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey ELSE s_suppkey + 100000000 END AS id, CASE WHEN s_suppkey % 10 = 1 THEN 'same' ELSE s_name END AS name, 'n' || CAST(s_nationkey AS STRING) AS base_url, CASE WHEN s_suppkey % 9 = 0 THEN 'x' ELSE 'c' END AS config FROM {supplier} WHERE s_suppkey % 7 <> 2"
 SOURCES = "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 20 = 1 THEN 'same' ELSE s_name END AS name, 'n' || CAST(s_nationkey AS STRING) AS base_url, 'c' AS config FROM {supplier}"
 
@@ -202,7 +191,7 @@ def cohort_purge(spark, sf_dir):
 QUERIES = {
     "refund_evidence": refund_evidence, "refund_blockers": refund_blockers, "refund_plan": refund_plan, "refund_deltas": refund_deltas, "refund_apply": refund_apply, "refund_rebuild": refund_rebuild, "refund_verify": refund_verify,
     "three_way": three_way, "audit": audit, "receipt": receipt, "coverage": coverage, "object_inventory": object_inventory, "output_tokens": output_tokens, "top_reasons": top_reasons, "set_cover": set_cover, "grants": grants,
-    "key_policies": key_policies, "route_plan": route_plan, "merged_routes": merged_routes, "wildcard_matches": wildcard_matches, "transports": transports, "top_ups": top_ups, "cohort_purge": cohort_purge,
+    "key_policies": key_policies, "route_plan": route_plan, "merged_routes": merged_routes, "transports": transports, "top_ups": top_ups, "cohort_purge": cohort_purge,
 }
 UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 AUDIT = "count(*) AS rows, count(*) FILTER (WHERE completed_at IS NULL) AS unfinished, count(*) FILTER (WHERE status_code NOT BETWEEN 200 AND 399) AS failed, count(*) FILTER (WHERE cost_micros = 0) AS free"
@@ -228,7 +217,6 @@ ORACLE_SQL = {
     "key_policies": f"{GRANTS_SQL} SELECT key_hash, coalesce(string_agg(DISTINCT model_id, ',' ORDER BY model_id), '') AS models, bool_and(model_id IS NOT NULL) AS complete FROM resolved GROUP BY 1",
     "route_plan": ROUTE_SQL,
     "merged_routes": "SELECT p_name AS pattern, min(p_type) AS driver, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS candidates, count(DISTINCT p_type) > 1 AS rejected FROM part WHERE p_partkey % 50 < 2 GROUP BY 1",
-    "wildcard_matches": "SELECT * FROM (SELECT '*RED*' AS pattern, count(*) FILTER (WHERE p_name ILIKE '%red%') AS n FROM part UNION ALL SELECT 'small *', count(*) FILTER (WHERE p_name ILIKE 'small %') FROM part UNION ALL SELECT 'blue widget', count(*) FILTER (WHERE lower(p_name) = 'blue widget') FROM part UNION ALL SELECT '*(x)*', 0) t",
     "transports": TRANSPORT_SQL,
     "top_ups": "SELECT c_custkey AS account_id, 500000 - CAST(round(c_acctbal * 100) AS BIGINT) AS grant_micros FROM customer WHERE CAST(round(c_acctbal * 100) AS BIGINT) < 500000",
     "cohort_purge": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",

@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.scalars import locator_class
@@ -113,10 +113,20 @@ def gap_candidates(locators: DataFrame, objects: DataFrame) -> DataFrame:
     return both.select("id", "locator", reason.alias("reason")).where("reason IS NOT NULL")
 
 
+def digest_sums(digest: Column) -> list[Column]:
+    """Sums of the eight parts of 32 bits of 256-bit digests in hex, low first, named _s0 to _s7."""
+    limbs = [F.conv(F.substr(digest, F.lit(57 - 8 * i), F.lit(8)), 16, 10).cast("decimal(20,0)") for i in range(8)]
+    return [F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,0)").alias(f"_s{i}") for i, x in enumerate(limbs)]
+
+
+def digest_text(sums: list) -> str:
+    """The sum modulo 2**256 in hex, from the sums of its parts."""
+    return f"{sum(int(x) << 32 * i for i, x in enumerate(sums)) % (1 << 256):064x}"
+
+
 def multiset_digest(rows: DataFrame, digest: str) -> DataFrame:
     """Sum of 256-bit digests modulo 2**256, as eight sums of 32 bits, low first: the order of rows does not matter, repeats count."""
-    limbs = [F.conv(F.substr(F.col(digest), F.lit(57 - 8 * i), F.lit(8)), 16, 10).cast("decimal(20,0)") for i in range(8)]
-    sums = rows.agg(F.count("*").alias("rows"), *[F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,0)").alias(f"_s{i}") for i, x in enumerate(limbs)])
+    sums = rows.agg(F.count("*").alias("rows"), *digest_sums(F.col(digest)))
     word = F.lit(1 << 32).cast("decimal(20,0)")
     carry, parts = F.lit(0).cast("decimal(38,0)"), []
     for i in range(8):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ def audit(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return rows.agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
 
 
+def battery(tables: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """One row with whole numbers that aggregates give over several tables: one scan a table, however many numbers it gives."""
+    parts = []
+    for rows, numbers in tables:
+        row = rows.agg(*[n.cast("long").alias(k) for k, n in numbers.items()])
+        parts.append(row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in numbers])).alias("x")).select("x.*"))
+    told = reduce(DataFrame.unionByName, parts)
+    return told.agg(*[F.max(F.when(F.col("name") == k, F.col("value"))).alias(k) for _, numbers in tables for k in numbers])
+
+
 def coverage(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """One row: keys on both sides, on the left alone and on the right alone, and keys that repeat on a side."""
     a = left.groupBy(*key).agg(F.count("*").alias("_a"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.plans import archives, corrections, ledgers, payloads, routes, snapshots, streams, usage
+from meterline.plans import archives, corrections, ledgers, payloads, routes, snapshots, stores, streams, usage
 
-QUERIES: dict = {**usage.QUERIES, **ledgers.QUERIES, **archives.QUERIES, **corrections.QUERIES, **snapshots.QUERIES, **payloads.QUERIES, **routes.QUERIES, **streams.QUERIES}
-ORACLE_SQL: dict[str, str] = {**usage.ORACLE_SQL, **ledgers.ORACLE_SQL, **archives.ORACLE_SQL, **corrections.ORACLE_SQL, **snapshots.ORACLE_SQL, **payloads.ORACLE_SQL, **routes.ORACLE_SQL, **streams.ORACLE_SQL}
+QUERIES: dict = {**usage.QUERIES, **ledgers.QUERIES, **archives.QUERIES, **corrections.QUERIES, **snapshots.QUERIES, **payloads.QUERIES, **routes.QUERIES, **stores.QUERIES, **streams.QUERIES}
+ORACLE_SQL: dict[str, str] = {**usage.ORACLE_SQL, **ledgers.ORACLE_SQL, **archives.ORACLE_SQL, **corrections.ORACLE_SQL, **snapshots.ORACLE_SQL, **payloads.ORACLE_SQL, **routes.ORACLE_SQL, **stores.ORACLE_SQL, **streams.ORACLE_SQL}

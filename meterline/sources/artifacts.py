@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from meterline.sources import publish
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,15 +29,16 @@ def write_lines(df: DataFrame, path: str, order: list[str], line: str = "line")
     df.orderBy(*order).select(line).write.text(path)
 
 
-def seal(df: DataFrame, path: str, prior: dict | None = None, fence: int = 0, watermark: int = 0) -> dict:
-    """Writes df under a new path and returns its manifest: rows and an order-free digest that is read back from the files."""
-    from meterline.operators.graph import multiset_digest
+def seal(df: DataFrame, path: str, prior: dict | None = None, watermark: int = 0, session: str | None = None, fence: str | int = 0) -> dict:
+    """Writes df under a new path and returns its manifest: rows, an order-free digest, sessions and the highest fence where columns are named for them.
 
-    df.write.mode("errorifexists").parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    row = multiset_digest(back.select(F.sha2(F.to_json(F.struct(*sorted(back.columns)), {"ignoreNullFields": "false"}), 256).alias("d")), "d").first()
+    All counters come with the write, so sealed files aren't read again. fence is a column, or a number that is known. A path that is there is an error.
+    """
+    out, counters = publish.observed(df, session, fence if isinstance(fence, str) else None)
+    out.write.mode("errorifexists").parquet(path)
+    told = publish.counted(counters)
     prior = prior or {}
     return {
-        "sequence": prior.get("sequence", 0) + 1, "path": path, "rows": row["rows"], "output_sha256": row["digest"], "prior_output_sha256": prior.get("output_sha256"),
-        "watermark": watermark, "prior_watermark": prior.get("watermark"), "fence": fence, "prior_fence": prior.get("fence"), "full": not prior,
+        "sequence": prior.get("sequence", 0) + 1, "path": path, "rows": told["rows"], "sessions": told.get("sessions"), "output_sha256": told["digest"], "prior_output_sha256": prior.get("output_sha256"),
+        "watermark": watermark, "prior_watermark": prior.get("watermark"), "fence": told.get("fence", fence), "prior_fence": prior.get("fence"), "full": not prior,
     }

@@ -88,6 +88,6 @@ def test_listing_reads_no_content(spark, tmp_path):
     for root in (f"file://{tmp_path}", f"file:{tmp_path}/", str(tmp_path)):
         listed = listing.objects(spark, root)
         assert {r.key: r.bytes for r in listed.collect()} == sizes
-    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert "content:" not in listed._jdf.queryExecution().executedPlan().toString()
     got = {r["class"]: (r.objects, r.bytes) for r in listing.by_class(listed).collect()}
     assert got["staging_requires_owner_fence"] == (2, 13) and got["unclassified_protected"] == (2, 24) and sum(n for n, _ in got.values()) == 7

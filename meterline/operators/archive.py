@@ -110,13 +110,14 @@ def retired(current: DataFrame, staged: DataFrame) -> DataFrame:
 def correlate(records: DataFrame, requests: DataFrame, tolerance_ms: int = TOLERANCE_MS) -> DataFrame:
     """(record_id, matches, disposition): exact, ambiguous, incompatible (same id, other facts) or absent.
 
-    A match has the record's external id and key, a start within the tolerance, and one of its two models. Of several
+    A match has the record's external id and key, in either case, a start within the tolerance, and one of its two models (without outer spaces, not blank). Of several
     matches the only one with the record's input and output tokens is exact. The join is on the external id; time and models filter within it.
     """
     tokens = ("input_tokens", "output_tokens")
     right = requests.select("external_id", F.col("created_at").alias("_at"), F.col("model").alias("_model"), F.col("key_id").alias("_key"), *[F.col(c).alias(f"_{c}") for c in tokens], F.lit(1).alias("_there"))
     both = records.join(right, "external_id", "left")
-    fits = (F.abs(F.col("_at") - F.col("started_at")) <= tolerance_ms) & ((F.col("_model") == F.col("requested_model")) | (F.col("_model") == F.col("resolved_model"))) & (F.col("_key") == F.col("key_id"))
+    named = lambda c: F.coalesce((F.trim(c) != "") & (F.trim(c) == F.col("_model")), F.lit(False))
+    fits = (F.abs(F.col("_at") - F.col("started_at")) <= tolerance_ms) & (named("requested_model") | named("resolved_model")) & (F.lower("_key") == F.lower("key_id"))
     alike = fits & (F.col("_input_tokens") == F.col("input_tokens")) & (F.col("_output_tokens") == F.col("output_tokens"))
     n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     counts = both.groupBy("record_id").agg(F.count("_there").alias("_same_id"), n(fits).alias("matches"), n(alike).alias("_alike"))

@@ -53,6 +53,7 @@ def select_prices(usage: DataFrame, prices: DataFrame, context: DataFrame, servi
     reach = F.lead("threshold_tokens").over(Window.partitionBy("model").orderBy("threshold_tokens"))
     tiers = context.select(F.col("model").alias("pricing_model"), F.col("threshold_tokens").alias("_above"), reach.alias("_upto"), F.struct(*_book(context, "threshold_tokens")).alias("_context"))
     tiered = context.select(F.col("model").alias("pricing_model"), F.lit(True).alias("_tiered")).distinct()
+    service = service.withColumns({"mode": plain(F.col("mode")), "service_tier": plain(F.col("service_tier"))})
     names = service.withColumn("_name", F.explode(F.array_distinct(F.array("mode", "service_tier"))))
     names = names.groupBy("model", "_name").agg(F.min_by(F.struct(*_book(service, "mode", "service_tier")), F.struct("mode", "service_tier")).alias("_service"))
     events = usage.withColumn("billing_model", billing).withColumn("_asked", plain(F.col("service_tier")))

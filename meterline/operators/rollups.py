@@ -76,6 +76,37 @@ def sessions(facts: DataFrame, grain_ms: int | None = None) -> DataFrame:
     return rollup(rows, keys, SESSION_SUMS, ["last_activity"])
 
 
+USAGE_SUMS = ["requests", "errors", "input_tokens", "output_tokens", "cached_input_tokens", "cache_write_tokens", "generation_units", "duration_count", "duration_sum_ms", "cost_micros"]
+USAGE_KEYS = ["key_id", "session_id", "model", "protocol", "status_class", "error_code", "currency"]
+
+
+def session_usage(facts: DataFrame, generations: DataFrame, by_hour: bool = False) -> DataFrame:
+    """Use by key, session and currency with the last activity; or, by_hour, by USAGE_KEYS and hour. Generation jobs count in their key's unlinked session, as do requests without one.
+
+    Both are stacked and summed in one shuffle.
+    """
+    one = F.lit(1).cast("long")
+    zero = F.lit(0).cast("long")
+    unlinked = F.concat(F.lit("unlinked:"), "key_id")
+    shared = {"requests": one, "errors": F.when(F.col("status_class") == "failure", one).otherwise(zero), "duration_count": one, "duration_sum_ms": F.col("duration_ms"), "last_activity_at": F.col("created_at")}
+    asked = facts.withColumns(shared | {
+        "input_tokens": billable_input(F.col("input_tokens"), F.col("cached_input_tokens"), F.col("cache_write_tokens")), "generation_units": zero,
+        "session_id": F.coalesce(F.nullif(F.col("session_id"), F.lit("")), unlinked), "protocol": protocol_class(F.col("protocol")),
+    })
+    tokens = ("input_tokens", "output_tokens", "cached_input_tokens", "cache_write_tokens")
+    made = generations.withColumns(shared | {t: zero for t in tokens} | {"generation_units": F.col("billed_units"), "session_id": unlinked, "protocol": F.lit("generation")})
+    columns = [*USAGE_KEYS, "created_at", "last_activity_at", *USAGE_SUMS]
+    rows = asked.select(*columns).unionByName(made.select(*columns))
+    if by_hour:
+        return rollup(rows.withColumn("hour_bucket", bucket("created_at", HOUR_MS)), ["hour_bucket", *USAGE_KEYS], USAGE_SUMS)
+    return rollup(rows, ["key_id", "session_id", "currency"], USAGE_SUMS, ["last_activity_at"])
+
+
+def daily_usage(hours: DataFrame) -> DataFrame:
+    """Days out of session_usage by hour."""
+    return rollup(hours.withColumn("day_bucket", F.floor(F.col("hour_bucket") / 24).cast("long")), ["day_bucket", *USAGE_KEYS], USAGE_SUMS)
+
+
 def used(amount: Column) -> Column:
     """What a ledger amount uses of a budget: usage is negative."""
     return F.when(amount < 0, -amount).otherwise(F.lit(0).cast("long"))

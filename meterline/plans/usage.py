@@ -22,7 +22,7 @@ def _slugs(names, prefixes) -> str:
     return "(" + " OR ".join([f"name = '{n}'" for n in names] + [f"name LIKE '{p}%'" for p in prefixes]) + ")"
 
 
-def rated_sql() -> str:
+def rated_sql(usage: str = tables.NORMALISED, prices: str = tables.PRICES, context: str = tables.CONTEXT_TIERS, service: str = tables.SERVICE_TIERS) -> str:
     """Common table expressions up to `rated`, for DuckDB."""
     def columns(alias: str) -> str:
         return ", ".join(f"{alias}.{c}_per_1m AS {alias}_{c}, {alias}.{c}_configured AS {alias}_has_{c}" for c in COMPONENTS)
@@ -35,8 +35,10 @@ def rated_sql() -> str:
     units = lambda v: f"CAST(coalesce({v}, 0) * 10000000 AS HUGEINT)"
     tiers = ", ".join(f"'{t}'" for t in rating.KNOWN_TIERS)
     signed = "input_tokens, output_tokens, reasoning_tokens, cached_tokens, cache_tokens, cache_read_tokens, cache_creation_tokens, normalized_uncached_input_tokens, normalized_total_input_tokens, normalized_cache_read_tokens, normalized_cache_creation_tokens, total_tokens"
+    rates = {"prompt": f"{units('e_prompt')} / 10.0", "legacy_cache": f"{units('e_cache')} / 10.0", "cache_read": "u_read / 10.0", "cache_creation": "u_creation / 10.0", "output": f"{units('e_completion')} / 10.0"}
     return f"""
-usage AS ({duck(tables.NORMALISED)}), prices AS ({duck(tables.PRICES)}), context AS ({duck(tables.CONTEXT_TIERS)}), service AS ({duck(tables.SERVICE_TIERS)}),
+usage AS ({duck(usage)}), prices AS ({duck(prices)}), context AS ({duck(context)}),
+service AS (SELECT * REPLACE (lower(trim(mode)) AS mode, lower(trim(service_tier)) AS service_tier) FROM ({duck(service)}) t),
 named AS (SELECT *, coalesce(nullif(resolved_model, ''), nullif(model, ''), '-') AS billing_model, lower(trim(coalesce(service_tier, ''))) AS asked FROM usage),
 priced AS (SELECT n.*, coalesce(b.model, m.model) AS price_model FROM named n LEFT JOIN prices b ON b.model = n.billing_model LEFT JOIN prices m ON m.model = n.model),
 found AS (SELECT r.*, coalesce(price_model, billing_model) AS pricing_model, regexp_replace(lower(billing_model), '^.*/', '') AS name FROM priced r),
@@ -52,9 +54,18 @@ exact AS (SELECT *, CASE WHEN h_cache_read OR coalesce(e_cache_read, 0) > 0 THEN
 rated AS (SELECT *, CAST((((normalized_uncached_input_tokens * {units('e_prompt')} + residual_cached_tokens * {units('e_cache')} + cache_read_tokens * u_read + normalized_cache_creation_tokens * u_creation) * CASE WHEN long THEN 20 ELSE 10 END
     + output_tokens * {units('e_completion')} * CASE WHEN long THEN 15 ELSE 10 END) * times + 500000000) // 1000000000 AS BIGINT) AS cost_micros,
   CASE WHEN price_model IS NULL THEN 'zero-token' WHEN by_context THEN 'context' WHEN long AND hurry THEN 'legacy-long-base' WHEN by_service THEN 'service' WHEN long THEN 'legacy-long' ELSE 'base' END AS pricing_rule,
-  CASE WHEN price_model IS NULL AND normalized_total_input_tokens + output_tokens > 0 THEN 'missing source model price' WHEN least({signed}) < 0 THEN 'negative token dimension'
+  {', '.join(f"CAST(round({v}) AS BIGINT) AS {k}_micros_per_million" for k, v in rates.items())},
+  CASE WHEN price_model IS NULL AND coalesce(normalized_total_input_tokens, 0) + coalesce(output_tokens, 0) > 0 THEN 'missing source model price'
+    WHEN normalized_uncached_input_tokens IS NULL OR normalized_total_input_tokens IS NULL OR normalized_cache_read_tokens IS NULL OR normalized_cache_creation_tokens IS NULL THEN 'cache-accounting migration is incomplete'
+    WHEN least({signed}) < 0 THEN 'negative token dimension'
     WHEN normalized_total_input_tokens <> normalized_uncached_input_tokens + normalized_cache_read_tokens + normalized_cache_creation_tokens THEN 'normalized input buckets do not sum to total input'
-    WHEN applied_service_tier NOT IN ({tiers}) THEN 'unsupported effective service tier' WHEN normalized_uncached_input_tokens > 0 AND NOT h_prompt THEN 'missing exact prompt price' ELSE '' END AS validation_error
+    WHEN normalized_cache_read_tokens <> residual_cached_tokens + greatest(cache_read_tokens, 0) THEN 'cache-read normalization disagrees with source cache buckets'
+    WHEN normalized_cache_creation_tokens <> greatest(cache_creation_tokens, 0) THEN 'cache-creation normalization disagrees with source cache buckets'
+    WHEN applied_service_tier NOT IN ({tiers}) THEN 'unsupported effective service tier'
+    WHEN normalized_uncached_input_tokens > 0 AND (e_prompt IS NULL OR NOT h_prompt) THEN 'missing exact prompt price'
+    WHEN output_tokens > 0 AND (e_completion IS NULL OR NOT h_completion) THEN 'missing exact output price'
+    WHEN cache_read_tokens > 0 AND NOT h_cache_read AND coalesce(e_cache, 0) <= 0 AND NOT h_prompt THEN 'missing exact cache-read price fallback'
+    WHEN normalized_cache_creation_tokens > 0 AND NOT h_cache_creation AND NOT h_prompt THEN 'missing exact cache-creation price fallback' ELSE '' END AS validation_error
   FROM exact)"""
 
 

@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import blocks
+from meterline.llm import words as word_scan
 from meterline.llm.components import components
 from meterline.llm.tables import LOWER_SQL, WORDS_SQL, read, written
 
 WIDTH = 5
+#: All bytes but the six word breaks.
+WORD_BYTES = ~np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 MESSAGE = "kind int, to long, of long, x binary, y binary"
 #: Kinds of messages.
 DOCS, BARE, LINKS, PAIRS, KEYS, COUNTS, LABELS, SENT = range(8)
@@ -69,14 +72,20 @@ class Bands:
         return np.searchsorted(self.low, sizes, side="right") - 1
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
-    """Sorted distinct hashes of five-word shingles; fewer words are one shingle, none make none."""
-    if not words:
-        return np.zeros(0, U)
-    hashes = blocks.word_hashes(words)
-    if len(words) < WIDTH:
-        return blocks.mixed((hashes * blocks.FOR_KEY[16 + 8 * len(words) :][: len(words)]).sum(keepdims=True) + U(len(words)))
-    return np.unique(blocks.window_hashes(hashes, WIDTH, blocks.FOR_KEY))
+def shingle_sets(texts: pa.ChunkedArray) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its five-word shingles; fewer words are one shingle, none make none."""
+    words = word_scan.scan(pa.concat_arrays([c.cast(pa.large_binary()) for c in texts.chunks]) if texts.num_chunks else pa.array([], pa.large_binary()), WORD_BYTES)
+    hashes = words.hashes[0]
+    keys, begin = blocks.window_hashes(hashes, WIDTH, blocks.FOR_KEY), np.cumsum(words.sizes) - words.sizes
+    out = []
+    for a, n in zip(begin.tolist(), words.sizes.tolist()):
+        if n >= WIDTH:
+            out.append(np.unique(keys[a : a + n - WIDTH + 1]))
+        elif n:
+            out.append(blocks.mixed((hashes[a : a + n] * blocks.FOR_KEY[16 + 8 * n :][:n]).sum(keepdims=True) + U(n)))
+        else:
+            out.append(np.zeros(0, U))
+    return out
 
 
 @dataclass
@@ -166,7 +175,7 @@ class Block:
         ids = table["doc_id"]
         self.valid = ids.is_valid().to_numpy()
         self.ids = ids.fill_null(0).to_numpy()
-        rows = [shingles(text.split()) for text in blocks.raw_texts(table["text"])]
+        rows = shingle_sets(table["text"])
         self.sizes = np.array([len(r) for r in rows], np.int64)
         self.same: list[tuple[int, int]] = []
         self.sets: list[np.ndarray] = []
@@ -591,8 +600,8 @@ def verified(pairs: DataFrame, packed: DataFrame, lay: blocks.Layout) -> DataFra
                 ids = table["doc_id"].fill_null(-(2**63)).to_numpy()
                 table = table.take(pa.array(np.flatnonzero(np.isin(ids, wanted))))
                 found: dict[int, list[np.ndarray]] = {}
-                for i, text in zip(table["doc_id"].to_pylist(), blocks.raw_texts(table["text"])):
-                    found.setdefault(i, []).append(shingles(text.split()))
+                for i, row in zip(table["doc_id"].to_pylist(), shingle_sets(table["text"])):
+                    found.setdefault(i, []).append(row)
                 return found
 
             there: dict[int, list[np.ndarray]] = {}

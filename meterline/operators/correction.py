@@ -144,3 +144,44 @@ def plan_mismatches(plans: DataFrame, items: DataFrame) -> DataFrame:
     got = items.groupBy("plan_id").agg(F.count("*").alias("n"), F.sum("refund_micros").alias("total"))
     both = plans.join(got, "plan_id", "left")
     return both.where((F.col("candidates") != F.coalesce("n", F.lit(0))) | (F.col("refund_micros") != F.coalesce("total", F.lit(0)))).select("plan_id")
+
+
+def usage_event_mismatches(items: DataFrame, events: DataFrame, since_ms: int) -> DataFrame:
+    """Items used since a time whose refund is no budget event of its own with the same reservation, key, account, amount and time: (refund_entry_id)."""
+    wanted = items.where(F.col("usage_created_at") >= since_ms).select(
+        "refund_entry_id", "reservation_id", "key_id", "account_id", (-F.col("refund_micros")).alias("amount_micros"), F.col("usage_created_at").alias("settled_at")
+    )
+    key = ["refund_entry_id", "reservation_id", "key_id", "account_id", "amount_micros", "settled_at"]
+    held = events.select(F.col("usage_entry_id").alias("refund_entry_id"), *key[1:]).distinct()
+    return wanted.join(held, key, "left_anti").select("refund_entry_id")
+
+
+def entitlement_mismatches(items: DataFrame, allocations: DataFrame, cycles: DataFrame) -> DataFrame:
+    """Cycles that items' uses were allocated to, and which are absent or have consumed something else than all their allocations: (cycle_id)."""
+    touched = allocations.join(items.select("usage_entry_id"), "usage_entry_id", "left_semi").select("cycle_id").distinct()
+    sums = allocations.groupBy("cycle_id").agg(F.sum("amount_micros").cast("long").alias("_sum"))
+    both = touched.join(sums, "cycle_id", "left").join(cycles.select("cycle_id", "consumed_micros", F.lit(True).alias("_there")), "cycle_id", "left")
+    return both.where(F.col("_there").isNull() | ~F.col("consumed_micros").eqNullSafe(F.coalesce("_sum", F.lit(0)))).select("cycle_id")
+
+
+DAILY_KEY = ("key_id", "day_bucket", "currency", "status_code")
+
+
+def correction_daily_mismatches(items: DataFrame, daily: DataFrame) -> DataFrame:
+    """Days of corrections that differ from their items, on either side: DAILY_KEY."""
+    day = F.floor(F.col("request_created_at") / 86_400_000).cast("long").alias("day_bucket")
+    due = items.groupBy("key_id", day, "currency", "status_code").agg(F.count("*").alias("_n"), F.sum("refund_micros").cast("long").alias("_sum"))
+    both = due.join(daily, list(DAILY_KEY), "full_outer")
+    return both.where(~F.col("adjustment_count").eqNullSafe(F.col("_n")) | ~F.col("refund_micros").eqNullSafe(F.col("_sum"))).select(*DAILY_KEY)
+
+
+def rollup_mismatches(items: DataFrame, facts: DataFrame, rollup: DataFrame, by: list[str]) -> DataFrame:
+    """Of the rollup rows that items touch, those whose cost isn't that of their facts less refunds: (by).
+
+    Facts are summed once for all keys and cut down to the touched ones by a semi-join.
+    """
+    refunds = items.groupBy("request_id").agg(F.sum("refund_micros").cast("long").alias("_refund"))
+    rows = facts.join(refunds, "request_id", "left")
+    sums = rows.groupBy(*by).agg(F.sum(F.col("cost_micros") - F.coalesce("_refund", F.lit(0))).cast("long").alias("_cost"), F.count("_refund").alias("_touched"))
+    both = sums.where("_touched > 0").join(rollup.select(*by, F.col("cost_micros").alias("_held")), by, "left")
+    return both.where(~F.col("_held").eqNullSafe(F.col("_cost"))).select(*by)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.operators.snapshots import ordered_digests
+
 RECORD = "schema_version int, session_id string, request_id string, started_at long, completed_at long, key_id string, principal_id string, credential_hash string, requested_model string, model string, outcome string, status_code long"
 SUMMARY = "_mtc_delta_type string, schema_version int, session_id string, requests long, first_at long, last_at long, deleted_at long, records_sha256 string, deleted boolean"
 #: Fixed value: clocks of the archive and of requests may differ so much.
@@ -38,13 +40,12 @@ def parse(lines: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
 
 
 def session_digests(records: DataFrame) -> DataFrame:
-    """(session_id, records, sha256) over a session's lines (session_id, request_id, line), each ended by a newline, in order of request.
+    """(session_id, records, sha256) over the digests of a session's lines (session_id, request_id, line), each ended by a newline, in order of request.
 
-    Digests of a line are 32 bytes, so what a session gathers is small beside its lines.
+    Lines are sorted and hashed as a stream, so a session of any length takes one batch of memory.
     """
-    hashed = records.select("session_id", "request_id", F.sha2("line", 256).alias("_line"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("request_id", "_line"))), lambda x: x["_line"])
-    return hashed.groupBy("session_id").agg(F.count("*").alias("records"), F.sha2(F.concat(F.array_join(ordered, "\n"), F.lit("\n")), 256).alias("sha256"))
+    hashed = records.select("session_id", "request_id", F.concat(F.sha2("line", 256), F.lit("\n")).alias("line"))
+    return ordered_digests(hashed)
 
 
 def set_digest(digests: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.operators.ancestry import circular, reachable
+from meterline.operators.snapshots import ordered_digests
 
 
 def receipt_outcome(receipts: DataFrame, current: DataFrame) -> DataFrame:
@@ -122,10 +123,17 @@ def import_stats(records: DataFrame) -> DataFrame:
 
 
 def capture_digest(files: DataFrame) -> DataFrame:
-    """By capture: files and the digest of the JSON list of (path, sha256) in the order of paths. Two captures of one state have one digest."""
-    listed = F.array_sort(F.collect_list(F.struct("path", "sha256")))
-    text = F.concat(F.lit('{"version":1,"auth":'), F.to_json(listed), F.lit("}\n"))
-    return files.groupBy("capture").agg(F.count("*").alias("files"), F.sha2(text, 256).alias("digest"))
+    """By capture: files and the digest of the JSON list of (path, sha256) in the order of paths. Two captures of one state have one digest.
+
+    The list is hashed as a stream of sorted files, so a capture of any size takes one batch of memory. A file that is listed twice alike counts once.
+    """
+    files = files.select("capture", "path", "sha256").distinct()
+    first = files.groupBy("capture").agg(F.min(F.struct("path", "sha256")).alias("_first"))
+    item = F.to_json(F.struct("path", "sha256"))
+    rows = files.join(first, "capture").select("capture", F.lit(1).alias("part"), "path", "sha256", F.concat(F.when(F.struct("path", "sha256") == F.col("_first"), "").otherwise(","), item).alias("line"))
+    ends = [first.select("capture", F.lit(n).alias("part"), F.lit("").alias("path"), F.lit("").alias("sha256"), F.lit(text).alias("line")) for n, text in ((0, '{"version":1,"auth":['), (2, "]}\n"))]
+    out = ordered_digests(rows.unionByName(ends[0]).unionByName(ends[1]), "capture", ("part", "path", "sha256"))
+    return out.select(F.col("capture").cast(files.schema["capture"].dataType).alias("capture"), (F.col("records") - 2).alias("files"), F.col("sha256").alias("digest"))
 
 
 def reset(target: DataFrame, owned: DataFrame, key: list[str], guards: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

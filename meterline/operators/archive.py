@@ -139,3 +139,14 @@ def quarantine_state(versions: DataFrame, resolutions: DataFrame) -> DataFrame:
     last = resolutions.groupBy("occurrence", "version").agg(F.max_by("action", "at").alias("_action"))
     out = heads.join(last, ["occurrence", "version"], "left")
     return out.select("occurrence", "version", "reason", F.when(F.col("_action") == "link", "resolved").when(F.col("_action") == "dismiss", "dismissed").otherwise("pending").alias("state"))
+
+
+def unlinked(versions: DataFrame, resolutions: DataFrame) -> DataFrame:
+    """What associations of quarantined versions make of them: requests of a key without a link, (occurrence, version, key_id, reason).
+
+    versions has occurrence, version and reason, resolutions occurrence, version, action, key_id and at. The first resolution of a version counts, and
+    only an association (link) with a key makes a row; a version may be an older one than the head.
+    """
+    first = resolutions.groupBy("occurrence", "version").agg(F.min_by(F.struct("action", "key_id"), "at").alias("_r"))
+    rows = versions.join(first, ["occurrence", "version"]).where((F.col("_r.action") == "link") & F.col("_r.key_id").isNotNull())
+    return rows.select("occurrence", "version", F.col("_r.key_id").alias("key_id"), "reason")

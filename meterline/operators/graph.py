@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.scalars import locator_class
+from meterline.operators.snapshots import ordered_digests
 
 
 def node_hash(parent, atom):
@@ -148,3 +149,16 @@ def chunk_problems(chunks: DataFrame, headers: DataFrame) -> DataFrame:
         .when(F.coalesce("_bytes", F.lit(0)) != F.col("bytes"), "bytes")
     )
     return both.select("object_id", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def assembled_problems(chunks: DataFrame, headers: DataFrame) -> DataFrame:
+    """chunk_problems, and objects whose chunks (object_id, seq, body), put together in order, have another digest than the header's sha256: (object_id, reason).
+
+    Bodies are hashed as a stream of sorted chunks, so an object of any size takes one batch of memory.
+    """
+    sized = chunks.withColumn("n_bytes", F.octet_length("body").cast("long"))
+    broken = chunk_problems(sized, headers)
+    kind = headers.schema["object_id"].dataType
+    made = ordered_digests(chunks, "object_id", ("seq",), "body").select(F.col("object_id").cast(kind).alias("object_id"), F.col("sha256").alias("_made"))
+    unlike = headers.join(made, "object_id").where(~F.col("_made").eqNullSafe(F.col("sha256"))).select("object_id", F.lit("digest").alias("reason"))
+    return broken.unionByName(unlike.join(broken.select("object_id"), "object_id", "left_anti"))

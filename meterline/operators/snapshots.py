@@ -18,6 +18,9 @@ MOST_REFUNDS, MOST_TRANSITIONS = 10_000, 100_000
 def _streamed(rows: DataFrame, group: str, order: list[str], line: str, chained: bool) -> DataFrame:
     """SHA-256 over the lines of each group in order, read as a stream: a group of any length needs no more memory than a batch."""
 
+    def raw(value: str | bytes | None) -> bytes:
+        return value if isinstance(value, bytes) else (value or "").encode()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, n, state = None, 0, None
         done: list[tuple] = []
@@ -32,9 +35,9 @@ def _streamed(rows: DataFrame, group: str, order: list[str], line: str, chained:
                         done.append(close())
                     now, n, state = name, 0, "" if chained else hashlib.sha256()
                 if chained:
-                    state = hashlib.sha256(state.encode() + (text or "").encode()).hexdigest()
+                    state = hashlib.sha256(state.encode() + raw(text)).hexdigest()
                 else:
-                    state.update((text or "").encode())
+                    state.update(raw(text))
                 n += 1
             yield as_batch(done)
             done.clear()

@@ -6,10 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from meterline.operators import line_checks
+from meterline.operators import archive, graph, line_checks
 from meterline.sources import tables
 from meterline.sources.lines import numbered_lines
-from meterline.sources.tables import duck
+from meterline.sources.tables import FACTS, duck
 
 #: Files; each holds the sessions of some users.
 FILES = 8
@@ -48,5 +48,38 @@ SELECT k, CAST(spot AS BIGINT) AS offset, reason FROM (
   UNION ALL SELECT h.k, spot, 'count' FROM h LEFT JOIN c ON c.k = h.k AND c.nth = h.nth WHERE coalesce(n, 0) <> requests
   UNION ALL SELECT k, spot, 'session twice' FROM h WHERE times > 1) t WHERE reason IS NOT NULL"""
 
-QUERIES = {"session_breaks": session_breaks}
-ORACLE_SQL = {"session_breaks": BREAKS_SQL}
+
+#: Letters of a chunk.
+CHUNK = 97
+
+
+def assembled_objects(spark, sf_dir):
+    """Documents cut into chunks, put together again: some lack a chunk, some have two changed places, some headers are gone."""
+    docs = tables.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("object_id"), F.coalesce("text", F.lit("")).alias("text"))
+    n = F.greatest(F.ceil(F.char_length("text") / CHUNK), F.lit(1)).cast("int")
+    cut = docs.select("object_id", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr("text", i * CHUNK + 1, F.lit(CHUNK)))).alias("at", "part"))
+    seq = F.when((F.col("object_id") % 13 == 0) & (F.col("at") < 2), 1 - F.col("at")).otherwise(F.col("at")).cast("long")
+    chunks = cut.where("NOT (object_id % 17 = 0 AND at = 1)").select("object_id", seq.alias("seq"), F.encode("part", "UTF-8").alias("body"))
+    headers = docs.where("object_id % 19 <> 0").select("object_id", n.cast("long").alias("chunks"), F.octet_length("text").cast("long").alias("bytes"), F.sha2("text", 256).alias("sha256"))
+    return graph.assembled_problems(chunks, headers)
+
+
+ASSEMBLED_SQL = f"""WITH d AS (SELECT doc_id AS id, coalesce(text, '') AS t, greatest((length(coalesce(text, '')) + {CHUNK - 1}) // {CHUNK}, 1) AS n FROM documents),
+r AS (SELECT id, CASE WHEN id % 19 = 0 THEN 'no header' WHEN id % 17 = 0 AND n > 1 THEN 'count' WHEN id % 13 = 0 AND n = 1 THEN 'gap' WHEN id % 13 = 0 AND substr(t, 1, {CHUNK}) || substr(t, {CHUNK + 1}, {CHUNK}) <> substr(t, {CHUNK + 1}, {CHUNK}) || substr(t, 1, {CHUNK}) THEN 'digest' END AS reason FROM d)
+SELECT id AS object_id, reason FROM r WHERE reason IS NOT NULL"""
+
+
+def unlinked_requests(spark, sf_dir):
+    """Requests out of associated quarantine versions; of two resolutions of one version the first counts."""
+    e = tables.facts(spark, sf_dir).select(F.col("request_id").cast("long").alias("version"), "key_id", "created_at", "model", "cost_micros")
+    versions = e.select((F.col("version") % 3000).alias("occurrence"), "version", F.col("model").alias("reason"))
+    asked = e.where("cost_micros % 4 < 3").select((F.col("version") % 3000).alias("occurrence"), "version", F.when(F.col("cost_micros") % 4 == 0, "dismiss").otherwise("link").alias("action"), F.when(F.col("cost_micros") % 5 > 0, F.col("key_id")).alias("key_id"), F.col("created_at").alias("at"))
+    later = asked.withColumn("action", F.when(F.col("action") == "link", "dismiss").otherwise("link")).withColumn("at", F.col("at") + F.when(F.col("version") % 2 == 0, 1).otherwise(-1))
+    return archive.unlinked(versions, asked.unionByName(later.where("version % 3 = 0")))
+
+
+UNLINKED_SQL = f"""WITH f AS (SELECT CAST(request_id AS BIGINT) AS v, * FROM ({duck(FACTS)}) t WHERE cost_micros % 4 < 3)
+SELECT v % 3000 AS occurrence, v AS version, key_id, model AS reason FROM f WHERE cost_micros % 5 > 0 AND (cost_micros % 4 <> 0) = NOT (v % 3 = 0 AND v % 2 = 1)"""
+
+QUERIES = {"session_breaks": session_breaks, "assembled_objects": assembled_objects, "unlinked_requests": unlinked_requests}
+ORACLE_SQL = {"session_breaks": BREAKS_SQL, "assembled_objects": ASSEMBLED_SQL, "unlinked_requests": UNLINKED_SQL}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm.tables import WORDS_SQL, boxed, read, with_field, words_of
 
-BREAK = r"[\x20\x09-\x0D]"
+BREAK, BREAKS = r"[\x20\x09-\x0D]", " \t\n\x0b\x0c\r"
 #: Signs that close a sentence, perhaps before a closing quote or bracket.
 CLOSED = r"[.!?:;…][\"'»”’)\]]{0,3}$"
 SYMBOL = r"[#*$%&<>]"
@@ -25,7 +25,10 @@ def has_word(text):
 
 
 def word_chars(text):
-    return F.char_length(text) - F.regexp_count(text, F.lit(BREAK))
+    """Characters of words: all but the six breaks, which are searched for one by one."""
+    for sign in BREAKS:
+        text = F.replace(text, F.lit(sign), F.lit(""))
+    return F.char_length(text)
 
 
 def has_boilerplate(text):
@@ -48,7 +51,7 @@ def line_fails(line, boilerplate, symbols, fewest_words: int = 10):
     boilerplate and symbols say for the whole text whether looking for them in its lines is worth while.
     """
     navigation = line.rlike(r"[|»›•].*[|»›•].*[|»›•]")
-    unclosed = ~F.substring(F.rtrim(line), -4, 4).rlike(CLOSED) & (F.size(words_of(line)) < fewest_words)
+    unclosed = ~F.substring(F.rtrim(line, F.lit(BREAKS)), -4, 4).rlike(CLOSED) & (F.size(words_of(line)) < fewest_words)
     shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}") & (F.size(words_of(line)) >= 5)
     full_of_symbols = symbols & (F.regexp_count(line, F.lit(SYMBOL)) * 4 > word_chars(line))
     return unclosed | shouting | navigation | full_of_symbols | (boilerplate & has_boilerplate(line) & (F.size(words_of(line)) < PROSE_WORDS))
@@ -154,7 +157,7 @@ def _line_fails_sql() -> str:
     bar = "[|»›•]"
     closed = CLOSED.removesuffix("$").replace("'", "''") + end
     phrases = " OR ".join(f"contains(lower(l), '{p}')" for p in BOILERPLATE)
-    return rf"""(NOT regexp_matches(right(rtrim(l, ' '), 4), '{closed}') AND len(ws) < 10)
+    return rf"""(NOT regexp_matches(right(rtrim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 4), '{closed}') AND len(ws) < 10)
     OR (NOT regexp_matches(l, '\p{{Ll}}') AND regexp_matches(l, '\p{{Lu}}') AND len(ws) >= 5) OR regexp_matches(l, '{bar}{any_}{bar}{any_}{bar}')
     OR len(regexp_extract_all(l, '{SYMBOL}')) * 4 > length(regexp_replace(l, '{BREAK}', '', 'g')) OR (({phrases}) AND len(ws) < {PROSE_WORDS})"""
 

@@ -20,13 +20,13 @@ def clean(text):
     for line in text.split("\n"):
         words = WORDS.findall(line)
         chars = sum(map(len, words))
-        end = line.rstrip(" ")[-4:]
+        end = line.rstrip(" \t\x0b\x0c\r")[-4:]
         fails = bool(words) and (
             (len(words) < 10 and not re.search(quality.CLOSED, end))
             or (len(words) >= 5 and re.search(r"[A-ZÀ-ÖØ-Þ]", line) and not re.search(r"[a-zß-öø-ÿ]", line))
             or re.search(r"[|»›•].*[|»›•].*[|»›•]", line)
             or len(re.findall(r"[#*$%&<>]", line)) * 4 > chars
-            or any(x in line.lower() for x in quality.BOILERPLATE)
+            or (len(words) < quality.PROSE_WORDS and any(x in line.lower() for x in quality.BOILERPLATE))
         )
         if not fails:
             left.append(line)

@@ -36,7 +36,8 @@ def format_conversations(rows: DataFrame, turns_per_chunk: int = 64, learn_role:
     last task as a few chunk rows, not turn by turn.
 
     Null texts and roles count as empty; a null conv_id is a conversation of its own; null turns come first;
-    equal turns are ordered by role, then text, and repeated rows are all kept; other columns are ignored.
+    equal turns are ordered by role, then text, and repeated rows are all kept; other columns are ignored. An empty table
+    gives no rows; a very long text is escaped whole, and a conversation must fit into one string.
     """
     turns = rows.select(
         "conv_id",

@@ -55,7 +55,8 @@ def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block_rows: in
     share, null ones too, form one stream with the share others. No document is dropped: where a stream has
     ended the rest goes on in its own proportions. Repeated rows and ids are each dealt; among equal ids the order
     is by all of source, text and n_chars that docs have, and what is equal in these too is alike.
-    Columns of docs with the names made here are replaced.
+    Columns of docs with the names made here are replaced. Texts of any length are carried along, null and empty ones too; an
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     made = ["stream", "block_no", "release", "deadline", "slot", "place"]

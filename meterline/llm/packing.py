@@ -32,7 +32,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, longest: int = LONGEST, end
     sequences of one bucket. Rows are dealt with where they are read; nothing is shuffled, and sequence_id rises in the order of docs.
 
     A null or empty text gives end_id alone. Repeated rows and ids, null ids too, are packed once for each row
-    (sequence_id differs). Other columns are ignored; an empty table gives no rows.
+    (sequence_id differs). Other columns are ignored; an empty table gives no rows. A very long text is encoded whole
+    and cut into as many pieces as it takes.
     """
     schema = DIGEST + (", ids array<int>" if with_ids else "")
 

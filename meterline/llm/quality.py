@@ -61,7 +61,8 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
     """docs with cleaned (the text without failing lines) and kept (false where too large a share of text was lost).
 
     Lines are parts between `\\n`; empty ones stay. The share counts characters of words. A null text
-    stays null, counts as empty and is not kept; so is a text without words.
+    stays null, counts as empty and is not kept; so is a text without words. Very long texts are judged whole; rows are judged
+    alone, repeated ones alike. Columns of docs named cleaned or kept are replaced; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = docs.withColumn("_boilerplate", has_boilerplate(text)).withColumn("_symbols", may_fail_by_symbols(text))
@@ -88,7 +89,8 @@ def window_hashes(hashes):
 def document_stats(docs: DataFrame) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
-    A null text counts as empty. Rows are judged alone, so repeated rows and ids change nothing. Only texts
+    A null text counts as empty. Rows are judged alone, so repeated rows and ids change nothing. Columns of docs with these
+    names are replaced; an empty table gives no rows; very long texts are judged whole. Only texts
     that have fewer distinct windows than windows are looked at closely: windows are sorted by hash, and those
     equal to a neighbour give the places where a repeat starts.
     """

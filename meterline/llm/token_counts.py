@@ -71,7 +71,8 @@ def token_counts(docs: DataFrame, vocabulary: str, most_kept: int = 250_000) ->
     once; the counts at their ends are kept by word, up to most_kept, and summed by document. No shuffle.
 
     A null or empty text has no tokens. Signs outside the vocabulary count as their UTF-8 bytes. Repeated
-    rows and null ids are counted like others; other columns are ignored; an empty table gives no rows.
+    rows and null ids are counted like others; other columns are ignored; an empty table gives no rows. Very long texts
+    are counted whole, a few megabytes of texts, one at least, at a time.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences, in five stages that each take what the one before kept."""
+"""From raw documents to packed training sequences, in five stages that each take what the one before kept.
+
+Documents without text, empty ones and those below twenty words go in the first stage, very long ones are judged whole; rows without doc_id and
+repeated rows each stay or go by their own text, but for near duplicates, where rows with an id keep one of each group and those without
+stay. Columns beyond those of documents are carried to the last stage whatever their names. An empty table runs through all stages.
+"""
 
 from __future__ import annotations
 

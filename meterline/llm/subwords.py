@@ -25,10 +25,10 @@ class WordIds:
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
         self.known: dict[bytes, int] = {}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.known.clear()
+    def forget(self) -> None:
+        self.known = {}
         self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, words: Iterable[bytes]) -> None:
@@ -44,7 +44,7 @@ class WordIds:
     def by_word(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all words of all texts in a row, how many ids each word has, and how many words each text."""
         if len(self.known) > self.most:
-            self._forget()
+            self.forget()
         self._learn(set(chain.from_iterable(texts)))
         n_words = np.fromiter(map(len, texts), np.int64, len(texts))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, int(n_words.sum()))

@@ -40,7 +40,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Files read again are dealt to partitions by size, so the order is worked out anew: it follows from the documents alone.
     """
-    return packing.pack_documents(mix_sources(spark, docs, sf_dir), subwords.vocabulary_path("word_bpe_49k.json"))
+    return packing.pack_documents(mix_sources(spark, docs, sf_dir), subwords.vocabulary_path("word_bpe_49k.json"), keep_words=False)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -1,7 +1,8 @@
 """Reachability along references: chains are jumped over by doubled steps, so rounds follow the logarithm of their length.
 
 Edges are (from_id, to_id). A unary node has one edge that counts; a table of jumps for each power of two leads from a unary
-node as many steps on, as long as all nodes between are unary. Every table is written once (a checkpoint), and none holds more than a row a node.
+node as many steps on, as long as all nodes between are unary. Every table is written once, and none holds more than a row a node.
+Tables of nodes are joined by sorting: a few MB of shuffled ids would otherwise be sent through the driver as millions of rows.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.sources.tables import written
+
 #: Levels of nodes above the leaves that are left out of the chains and followed one by one.
 PEEL = 3
 
@@ -18,33 +21,33 @@ class Jumps:
 
     def __init__(self, steps: DataFrame):
         """steps: (id, to), one row for each unary node."""
-        self.levels = [steps.select("id", "to").checkpoint()]
+        self.levels = [written(steps.select("id", "to"))]
         n = self.levels[0].count()
         now = self.levels[0].withColumnRenamed("to", "end")
         while n and 1 << len(self.levels) <= 2 * n:
             last = self.levels[-1]
-            further = last.join(last.toDF("to", "_next"), "to").select("id", F.col("_next").alias("to")).checkpoint()
-            now = now.join(now.toDF("end", "_next"), "end", "left").select("id", F.coalesce("_next", "end").alias("end")).checkpoint()
+            further = written(last.join(last.toDF("to", "_next").hint("merge"), "to").select("id", F.col("_next").alias("to")))
+            now = written(now.join(now.toDF("end", "_next").hint("merge"), "end", "left").select("id", F.coalesce("_next", "end").alias("end")))
             if further.isEmpty():
                 break
             self.levels.append(further)
-        far = now.join(steps.select(F.col("id").alias("end")), "end", "left_semi").select("id")  # still at a unary node after more steps than there are nodes
-        self.circular = far.checkpoint()
-        self.ends = now.join(self.circular, "id", "left_anti").checkpoint()
+        far = now.join(self.levels[0].select(F.col("id").alias("end")).hint("merge"), "end", "left_semi").select("id")  # still at a unary node after more steps than there are nodes
+        self.circular = written(far)
+        self.ends = written(now.join(self.circular.hint("merge"), "id", "left_anti"))
 
     def passed(self, entries: DataFrame) -> DataFrame:
         """All ids from some entries (id, and columns that are carried along) on along their chains, the ends too."""
         found = entries.distinct()
         carried = [c for c in found.columns if c != "id"]
         for level in reversed(self.levels):
-            found = found.unionByName(found.join(level, "id").select(F.col("to").alias("id"), *carried)).distinct().checkpoint()
+            found = written(found.unionByName(found.join(level.hint("merge"), "id").select(F.col("to").alias("id"), *carried)).distinct())
         return found
 
     def lifted(self, rows: DataFrame) -> DataFrame:
         """rows (id, steps, ...) with at: the node so many steps on, null if the chain is shorter."""
         out = rows.withColumn("at", F.col("id"))
         for k, level in enumerate(self.levels):
-            taken = out.join(level.toDF("at", "_next"), "at", "left")
+            taken = out.join(level.toDF("at", "_next").hint("merge"), "at", "left")
             out = taken.withColumn("at", F.when(F.col("steps").bitwiseAND(1 << k) != 0, F.col("_next")).otherwise(F.col("at"))).drop("_next")
         return out.withColumn("at", F.when(F.col("steps") < 1 << len(self.levels), F.col("at")))
 
@@ -52,7 +55,7 @@ class Jumps:
 def _core(edges: DataFrame) -> DataFrame:
     """Edges to nodes that stand PEEL levels above leaves, or lead to a circle."""
     for _ in range(PEEL):
-        edges = edges.join(edges.select(F.col("from_id").alias("to_id")).distinct(), "to_id", "left_semi").checkpoint()
+        edges = written(edges.join(edges.select(F.col("from_id").alias("to_id")).distinct().hint("merge"), "to_id", "left_semi"))
     return edges
 
 
@@ -60,7 +63,7 @@ def _contracted(edges: DataFrame) -> tuple[Jumps, DataFrame]:
     """The jumps over unary nodes, and the edges of all others."""
     degrees = edges.groupBy("from_id").agg(F.count("*").alias("_n"), F.min("to_id").alias("to"))
     jumps = Jumps(degrees.where("_n = 1").select(F.col("from_id").alias("id"), "to"))
-    branches = edges.join(degrees.where("_n > 1").select("from_id"), "from_id", "left_semi").select("from_id", "to_id").checkpoint()
+    branches = written(edges.join(degrees.where("_n > 1").select("from_id").hint("merge"), "from_id", "left_semi").select("from_id", "to_id"))
     return jumps, branches
 
 
@@ -70,30 +73,26 @@ def reachable(roots: DataFrame, edges: DataFrame) -> DataFrame:
 
     Only nodes with more than one edge into the upper levels cost a round each level; chains between them are one jump.
     """
-    edges = edges.select("from_id", "to_id").distinct().checkpoint()
+    edges = written(edges.select("from_id", "to_id").distinct())
     jumps, branches = _contracted(_core(edges))
     key = ["id", *(c for c in roots.columns if c != "id")]
     carried = key[1:]
-    new = roots.select(*key).distinct().checkpoint()
+    new = written(roots.select(*key).distinct())
     entries = [new]
     while True:
-        at = new.join(jumps.ends, "id", "left").select(F.coalesce("end", "id").alias("from_id"), *carried).distinct()
-        new = at.join(branches, "from_id").select(F.col("to_id").alias("id"), *carried).distinct()
-        for known in entries:
-            new = new.join(known, key, "left_anti")
-        new = new.checkpoint()
+        at = new.join(jumps.ends.hint("merge"), "id", "left").select(F.coalesce("end", "id").alias("from_id"), *carried).distinct()
+        new = at.join(branches.hint("merge"), "from_id").select(F.col("to_id").alias("id"), *carried).distinct()
+        new = written(new.join(_union(entries).hint("merge"), key, "left_anti"))
         if new.isEmpty():
             break
         entries.append(new)
         if len(entries) > 16:  # few tables to look into, each id still written a bounded number of times
-            entries = [_union(entries).checkpoint()]
-    found = [jumps.passed(_union(entries)).checkpoint()]
+            entries = [written(_union(entries))]
+    found = [jumps.passed(_union(entries))]
     new = found[0]
     while True:  # what was peeled: PEEL levels
-        new = new.join(edges.withColumnRenamed("from_id", "id"), "id").select(F.col("to_id").alias("id"), *carried).distinct()
-        for known in found:
-            new = new.join(known, key, "left_anti")
-        new = new.checkpoint()
+        new = new.join(edges.withColumnRenamed("from_id", "id").hint("merge"), "id").select(F.col("to_id").alias("id"), *carried).distinct()
+        new = written(new.join(_union(found).hint("merge"), key, "left_anti"))
         if new.isEmpty():
             return _union(found)
         found.append(new)
@@ -111,19 +110,19 @@ def circular(edges: DataFrame) -> DataFrame:
 
     Nodes are taken away from the leaves up, chains at once; what can't be taken away leads to a circle.
     """
-    edges = _core(edges.select("from_id", "to_id").distinct().checkpoint())
+    edges = _core(written(edges.select("from_id", "to_id").distinct()))
     jumps, branches = _contracted(edges)
-    to = branches.join(jumps.ends.withColumnRenamed("id", "to_id"), "to_id", "left").select("from_id", F.coalesce("end", "to_id").alias("to_id")).distinct()
-    left = to.checkpoint()
+    to = branches.join(jumps.ends.withColumnRenamed("id", "to_id").hint("merge"), "to_id", "left").select("from_id", F.coalesce("end", "to_id").alias("to_id")).distinct()
+    left = written(to)
     endless = jumps.circular.select(F.col("id").alias("to_id"))
     while True:
         alive = left.select(F.col("from_id").alias("to_id")).union(endless).distinct()
-        kept = left.join(alive, "to_id", "left_semi").checkpoint()
+        kept = written(left.join(alive.hint("merge"), "to_id", "left_semi"))
         if kept.count() == left.count():
             break
         left = kept
     rest = left.select(F.col("from_id").alias("id")).distinct()
-    before = jumps.ends.join(rest.withColumnRenamed("id", "end"), "end", "left_semi").select("id")
+    before = jumps.ends.join(rest.withColumnRenamed("id", "end").hint("merge"), "end", "left_semi").select("id")
     return rest.union(before).union(jumps.circular).distinct()
 
 
@@ -157,14 +156,14 @@ def ancestry_problems(heads: DataFrame, nodes: DataFrame) -> DataFrame:
     asks = nodes.where("parent_event_id IS NOT NULL").select("id", "event_count", F.col("parent_event_id").alias("event_id"), F.lit(True).alias("strict"))
     orphans = asks.select("id").join(on_chain(asks).select("id").distinct(), "id", "left_anti")
     bad = checked.where(order).select("id", F.lit("order").alias("problem")).union(twice.select("id", F.lit("identity"))).union(orphans.select("id", F.lit("parent event")))
-    bad = bad.union(jumps.circular.select("id", F.lit("circle"))).checkpoint()
+    bad = bad.union(jumps.circular.select("id", F.lit("circle")))
     # a head has a problem if a node of its chain has: nodes below the bad ones are told by following the chains the other way round
     ranks = ["head missing", "branch parent half set", "count", "circle", "order", "branch", "identity", "parent event", "branch parent"]
     rank = F.create_map(*[x for k, r in enumerate(ranks) for x in (F.lit(r), F.lit(k))])
-    worst = bad.groupBy("id").agg(F.min(rank[F.col("problem")]).alias("rank")).checkpoint()
+    worst = written(bad.groupBy("id").agg(F.min(rank[F.col("problem")]).alias("rank")))
     for level in jumps.levels:  # the worst within 2^k steps, doubled
-        further = level.join(worst.toDF("to", "_rank"), "to").select("id", F.col("_rank").alias("rank"))
-        worst = worst.union(further).groupBy("id").agg(F.min("rank").alias("rank")).checkpoint()
+        further = level.join(worst.toDF("to", "_rank").hint("merge"), "to").select("id", F.col("_rank").alias("rank"))
+        worst = written(worst.union(further).groupBy("id").agg(F.min("rank").alias("rank")))
     first = nodes.select(F.col("id").alias("head"), F.col("event_count").alias("_count"), F.col("branch_id").alias("_branch"))
     own = heads.join(first, "head", "left").join(worst.withColumnRenamed("id", "head"), "head", "left")
     half = F.col("parent_event_id").isNull() != F.col("parent_branch_id").isNull()

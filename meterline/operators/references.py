@@ -89,7 +89,7 @@ def closure(roots: DataFrame, references: DataFrame, objects: DataFrame) -> Data
     at = objects.select("id", F.col("tenant").alias("held_tenant"))
     digests = references.groupBy(F.col("to_id").alias("id")).agg(F.countDistinct("digest").alias("digests"))
     circles = circular(edges).withColumn("circular", F.lit(True))
-    rows = found.join(at, "id", "left").join(digests, "id", "left").join(circles, "id", "left")
+    rows = found.join(at.hint("merge"), "id", "left").join(digests.hint("merge"), "id", "left").join(circles.hint("merge"), "id", "left")
     problem = (
         F.when(F.col("held_tenant").isNull(), "absent").when(F.col("held_tenant") != F.col("tenant"), "other tenant").when(F.col("digests") > 1, "two digests")
         .when(F.col("circular"), "circle").otherwise("")

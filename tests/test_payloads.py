@@ -172,3 +172,12 @@ def test_ancestry_problems(spark):
     assert {r["head"]: r.problem for r in got.collect()} == {
         "half1": "branch parent half set", "count2": "count", "order500": "order", "gap3": "order", "branch1": "branch", "twice302": "identity", "late4": "parent event", "lost2": "branch parent", "none": "head missing", "r0": "circle",
     }
+
+
+def test_sizes_of_jumps_do_not_grow_by_rounds(spark):
+    """Sizes that were multiplied in each round once filled the driver."""
+    ring = spark.range(3000).selectExpr("id", "(id + 1) % 3000 AS to")
+    jumps = ancestry.Jumps(ring.unionByName(spark.range(5000, 9000).selectExpr("id", "id + 1 AS to")))
+    assert jumps.circular.count() == 3000 and {r.end for r in jumps.ends.select("end").distinct().collect()} == {9000}
+    for table in (jumps.ends, jumps.levels[-1]):
+        assert table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 30

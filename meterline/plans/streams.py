@@ -49,7 +49,7 @@ def _taken(spark: SparkSession, sf_dir: str, sql: str, key: str, processor: type
     for k in range(PARTS + 1):  # one part more each time, as if the others had not been there yet
         paths = f"{folder}/in/{{{','.join(map(str, range(k + 1)))}}}"
         stream = spark.readStream.schema(rows.schema).parquet(paths)
-        state.take(state.outcomes(stream, key, processor, f"{2 * width // 1000 + 1} seconds"), f"{folder}/out", f"{folder}/checkpoint")
+        state.take(state.outcomes(stream, key, processor, f"{2 * width // 1000 + 1} seconds", max(width // 8, 1)), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out").where(F.col(key) >= 0)
 
 

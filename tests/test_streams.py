@@ -1,6 +1,7 @@
 """Stateful streams: late rows, restarts, and every outcome."""
 
 import pytest
+from pyspark.sql import Row
 
 from meterline.plans import streams
 from meterline.streaming import state
@@ -45,3 +46,59 @@ def test_every_outcome_occurs(spark, tmp_path_factory, name, expected):
 def test_empty_table(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
     assert streams.stream_claims(spark, str(tmp_path)).count() == 0
+
+
+def test_calls_to_the_state_follow_slots_not_rows():
+    """Three thousand rows of a key in a second cost a few calls and one timer."""
+
+    class Held(dict):
+        calls = 0
+
+        def containsKey(self, k):  # noqa: N802
+            Held.calls += 1
+            return k in self
+
+        def getValue(self, k):  # noqa: N802
+            Held.calls += 1
+            return self[k]
+
+        def updateValue(self, k, v):  # noqa: N802
+            Held.calls += 1
+            self[k] = v
+
+        def removeKey(self, k):  # noqa: N802
+            del self[k]
+
+        def exists(self):
+            return () in self
+
+        def get(self):
+            return self[()]
+
+        def update(self, v):
+            Held.calls += 1
+            self[()] = v
+
+    class Handle:
+        timers = []
+
+        def getValueState(self, *_):  # noqa: N802
+            return Held()
+
+        def getMapState(self, *_):  # noqa: N802
+            return Held()
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers.append(at)
+
+    class Timer:
+        getExpiryTimeInMs = staticmethod(lambda: 60_001)  # noqa: N815
+        getCurrentWatermarkInMs = staticmethod(lambda: 62_000)  # noqa: N815
+
+    claims = state.Claims()
+    claims.init(Handle())
+    rows = [Row(request=1, at_ms=60_000 + k, seq=k, digest="d", event_time=None) for k in range(3000, 0, -1)]
+    claims.handleInputRows((1,), iter(rows), None)
+    told = list(claims.handleExpiredTimer((1,), Timer, Timer))
+    assert [r.seq for r in told] == list(range(1, 2001)) and [r.outcome for r in told[:2]] == ["claimed", "replay"]
+    assert Handle.timers == [60_001, 62_001] and Held.calls < 20

@@ -15,22 +15,35 @@ def cover(expected: DataFrame, actual: DataFrame, key: list[str]) -> DataFrame:
 
 
 def resolve_grants(grants: DataFrame, models: DataFrame) -> DataFrame:
-    """Grants (key_hash, model, prefix) with the configured model (model_id, name, prefix): an exact prefix, else the only model of the name.
+    """Each distinct grant (key_hash, model, prefix) with what it stands for among models (model_id, name, prefix): an exact prefix, else the only model of the name.
 
-    resolution is exact, unique, ambiguous or unmatched.
+    grants is how often it is made, models how many it stands for, last_id the greatest of their ids; resolution is exact, unique, ambiguous or unmatched.
+    Several models of one name and prefix are all meant; they are counted here, so grants times models are never made as rows.
     """
-    exact = models.select(F.col("name").alias("model"), "prefix", F.col("model_id").alias("_exact"))
+    exact = models.groupBy(F.col("name").alias("model"), "prefix").agg(F.count("model_id").alias("_exact"), F.max("model_id").alias("_last"))
     single = models.groupBy(F.col("name").alias("model")).agg(F.count("*").alias("_n"), F.min("model_id").alias("_only"))
-    both = grants.join(exact, ["model", "prefix"], "left").join(single, "model", "left")
-    how = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_n") == 1, "unique").when(F.col("_n") > 1, "ambiguous").otherwise("unmatched")
-    out = both.select("key_hash", "model", "prefix", F.coalesce("_exact", F.when(F.col("_n") == 1, F.col("_only"))).alias("model_id"), how.alias("resolution"))
-    return out
+    made = grants.groupBy("key_hash", "model", "prefix").agg(F.count("*").alias("grants"))
+    both = made.join(exact, ["model", "prefix"], "left").join(single, "model", "left")
+    how = F.when(F.col("_exact") > 0, "exact").when(F.col("_n") == 1, "unique").when(F.col("_n") > 1, "ambiguous").otherwise("unmatched")
+    n = F.when(how == "exact", F.col("_exact")).when(how == "unique", 1).otherwise(0).cast("long")
+    last = F.when(how == "exact", F.col("_last")).when(how == "unique", F.col("_only"))
+    return both.select("key_hash", "model", "prefix", "grants", n.alias("models"), last.alias("last_id"), how.alias("resolution"))
 
 
-def policies(resolved: DataFrame) -> DataFrame:
+def grant_counts(resolved: DataFrame) -> DataFrame:
+    """(key_hash, resolution, n, last_id): pairs of a grant and a model, a grant without model counting once, and the greatest id."""
+    pairs = F.col("grants") * F.greatest("models", F.lit(1))
+    return resolved.groupBy("key_hash", "resolution").agg(F.sum(pairs).alias("n"), F.max("last_id").alias("last_id"))
+
+
+def policies(resolved: DataFrame, models: DataFrame) -> DataFrame:
     """Per key its models in order, and whether each grant found one."""
-    by_key = resolved.groupBy("key_hash").agg(F.array_join(F.array_sort(F.collect_set(F.col("model_id").cast("string"))), ",").alias("models"), F.bool_and(F.col("model_id").isNotNull()).alias("complete"))
-    return by_key
+    ids = models.select(F.col("name").alias("model"), "prefix", "model_id")
+    exact = resolved.where("resolution = 'exact'").join(ids, ["model", "prefix"]).select("key_hash", F.col("model_id").cast("string").alias("id"))
+    unique = resolved.where("resolution = 'unique'").select("key_hash", F.col("last_id").cast("string").alias("id"))
+    found = exact.union(unique).where("id IS NOT NULL").distinct().withColumn("ok", F.lit(True))
+    rows = found.union(resolved.select("key_hash", F.lit(None).cast("string"), F.col("models") > 0))
+    return rows.groupBy("key_hash").agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("models"), F.bool_and("ok").alias("complete"))
 
 
 def route_plan(wanted: DataFrame, live: DataFrame) -> DataFrame:

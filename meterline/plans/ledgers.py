@@ -137,15 +137,16 @@ resolved AS (SELECT g.*, coalesce(m.model_id, CASE WHEN n = 1 THEN only_id END)
 
 
 def _resolved(spark, sf_dir):
-    return inventory.resolve_grants(tables.view(spark, sf_dir, GRANTS, "part"), tables.view(spark, sf_dir, MODELS, "part"))
+    models = tables.view(spark, sf_dir, MODELS, "part")
+    return inventory.resolve_grants(tables.view(spark, sf_dir, GRANTS, "part"), models), models
 
 
 def grants(spark, sf_dir):
-    return _resolved(spark, sf_dir).groupBy("key_hash", "resolution").agg(F.count("*").alias("n"), F.max("model_id").alias("last_id"))
+    return inventory.grant_counts(_resolved(spark, sf_dir)[0])
 
 
 def key_policies(spark, sf_dir):
-    return inventory.policies(_resolved(spark, sf_dir))
+    return inventory.policies(*_resolved(spark, sf_dir))
 
 
 WANTED = "SELECT p_name AS public_model, p_type AS protocol, CAST(p_size AS BIGINT) AS priority, min(p_brand) AS definition FROM {part} GROUP BY ALL"

@@ -80,7 +80,7 @@ SELECT source_id, CASE WHEN reason IS NULL AND NOT clash THEN target_id END AS t
 
 def keyed_ids(spark, sf_dir):
     """Customers under identifiers that only who has the key can make: one key for all, and one of each customer's own."""
-    c = tables.read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c = tables.spread(tables.read(spark, sf_dir, "customer").select("c_custkey", "c_name"))
     i = F.col("c_custkey").cast("string")
     own = F.repeat(F.col("c_name"), F.when(F.col("c_custkey") % 3 == 0, 5).otherwise(1))
     return c.select("c_custkey", scalars.hmac_sha256(b"route key", i).alias("keyed"), scalars.hmac_sha256(own, i).alias("own_keyed"), scalars.uuid8_of(F.concat_ws("\0", F.lit("customer"), i)).alias("uuid"))

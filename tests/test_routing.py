@@ -115,3 +115,9 @@ def test_hmac_vectors_and_uuids(spark):
         raw = bytearray(hashlib.sha256(text.encode()).digest()[:16])
         raw[6], raw[8] = raw[6] & 0x0F | 0x80, raw[8] & 0x3F | 0x80
         assert spark.range(1).select(scalars.uuid8_of(F.lit(text)).alias("u")).head().u == str(uuid.UUID(bytes=bytes(raw)))
+
+
+def test_keyed_ids_are_dealt_to_all_cores(spark, sf_dir):
+    from meterline.plans import routes
+
+    assert routes.keyed_ids(spark, sf_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -17,3 +17,13 @@ def test_copies_of_grants_and_models_are_not_multiplied(spark):
     told = {r.key_hash: (r.models, r.complete) for r in inventory.policies(resolved, models.unionByName(more)).collect()}
     assert told["k"] == (",".join(sorted([*map(str, range(200_000)), "x1"])), False)
     assert told["j"] == ("y2", False) and told["i"] == ("x1", True) and told[None] == ("", False)
+
+
+def test_accepted_keeps_only_what_is_asked_for(spark):
+    from meterline.operators import load
+
+    rows = [("a", 1, "r", "x", 10), ("a", 2, "r", "y", 11), ("a", 2, "r", "y", 11), ("b", 1, "r", "x", 12), ("b", 1, "r", "z", 13), ("b", 5, "r", "q", 14), (None, 1, "r", "x", 15)]
+    staged = spark.createDataFrame(rows, "event_hash string, timestamp_ms long, request_id string, source_digest string, n long")
+    assert sorted(tuple(r) for r in load.accepted(staged, "n").where("event_hash IS NOT NULL").collect()) == [("a", 11)]
+    full = load.accepted(staged)
+    assert full.columns == ["event_hash", "timestamp_ms", "request_id", "source_digest", "n"] and full.count() == 2

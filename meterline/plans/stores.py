@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterline.functions.scalars import DAY_MS, bucket
@@ -57,13 +58,28 @@ def sealed_manifest(spark, sf_dir):
 KEYS = ("raw-cache/a", "tenants/t/cas/v1", "tenants/t/other", "staging/x", "readiness")
 
 
+#: Records of a file, and files that a group of rows fills.
+PER_FILE, FILES = 100, 50
+
+
+def in_full_files(rows, key, files=FILES):
+    """rows dealt to tasks by groups that fill so many files of PER_FILE records; only the last group may leave one that isn't full. Places are counted by shards of the key."""
+    shards = max(rows.count() // 1000, 1)
+    rows = rows.withColumn("_shard", F.pmod(F.hash(key), F.lit(shards)))
+    before = F.sum("count").over(Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1))  # a row a shard
+    starts = rows.groupBy("_shard").count().select("_shard", F.coalesce(before, F.lit(0)).alias("_start"))
+    placed = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_shard").orderBy(key))).join(starts, "_shard")
+    group = F.floor((F.col("_start") + F.col("_nth") - 1) / (files * PER_FILE))
+    return placed.withColumn("_group", group).repartition("_group").drop("_shard", "_nth", "_start", "_group")
+
+
 def object_listing(spark, sf_dir):
     """Objects and bytes by class of files that hold documents, a hundred in each, found by listing them."""
     root = _folder(spark, "objects")
-    docs = tables.read(spark, sf_dir, "documents").select(F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), (F.col("doc_id") % len(KEYS)).alias("k"))
+    docs = tables.read(spark, sf_dir, "documents").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), (F.col("doc_id") % len(KEYS)).alias("k"))
     for k, key in enumerate(KEYS):
-        rows = docs.where(F.col("k") == k).select(F.regexp_replace(F.base64("text"), r"\s", "").alias("value"))
-        rows.coalesce(1).write.option("maxRecordsPerFile", 100).text(f"{root}/{key}")
+        rows = in_full_files(docs.where(F.col("k") == k), "doc_id").select(F.regexp_replace(F.base64("text"), r"\s", "").alias("value"))
+        rows.write.option("maxRecordsPerFile", PER_FILE).text(f"{root}/{key}")
     return listing.by_class(listing.objects(spark, root)).select("class", "objects", "bytes")
 
 

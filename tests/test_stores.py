@@ -91,3 +91,17 @@ def test_listing_reads_no_content(spark, tmp_path):
     assert "content:" not in listed._jdf.queryExecution().executedPlan().toString()
     got = {r["class"]: (r.objects, r.bytes) for r in listing.by_class(listed).collect()}
     assert got["staging_requires_owner_fence"] == (2, 13) and got["unclassified_protected"] == (2, 24) and sum(n for n, _ in got.values()) == 7
+
+
+def test_full_files_come_from_more_than_one_task(spark, tmp_path):
+    from meterline.plans import stores
+
+    coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalescing, "false")  # which would put so few rows together again
+    try:
+        rows = stores.in_full_files(spark.range(3050), "id", files=2)
+        spread = rows.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.unset(coalescing)
+    assert sum(spread) == 3050 and max(spread) < 3050 and sorted(n % 100 for n in spread)[-2:] == [0, 50]
+    assert rows.distinct().count() == 3050

@@ -45,6 +45,23 @@ def books(spark):
     return base, context, service
 
 
+def test_prices_of_unknown_size_dont_shuffle_events(spark):
+    base, context, service = books(spark)
+    unknown = base.unionByName(base.crossJoin(spark.range(1_000_000)).where("id < 0").drop("id"))  # thought to be large
+    rated = rating.rate(rows_of(spark, USAGE, event("a", "m", "priority", 100, 10, 40, 0, 0, (60, 100, 40, 0))), unknown, context, service)
+    assert "hashpartitioning(billing_model" not in rated._jdf.queryExecution().executedPlan().toString()
+    assert [r.cost_micros for r in rated.collect()] == [254]
+
+
+def test_costs_beyond_64_bits_and_below_zero(spark):
+    base = rows_of(spark, f"model string, source string, {PRICE}", price(999_999_999, 999_999_999, 1, 1, 1, model="dear", source="s"))
+    _, context, service = books(spark)
+    n = 9_000_000_000
+    rows = [event("wide", "dear", "", n, 0, 0, 0, 0, (n, n, 0, 0)), event("below", "dear", "", -1, 0, 0, 0, 0, (-3, -3, 0, 0)), event("edge", "dear", "", 3, 0, 0, 0, 0, (3, 3, 0, 0))]
+    got = {r.event_hash: r.cost_micros for r in rating.rate(rows_of(spark, USAGE, *rows), base, context, service).collect()}
+    assert got == {"wide": n * 999_999_999, "below": -3 * 999_999_999, "edge": 3 * 999_999_999}
+
+
 def test_rating_goldens(spark):
     rows = [
         event("service", "m", "priority", 100, 10, 40, 0, 0, (60, 100, 40, 0)),

@@ -79,9 +79,10 @@ def in_overlap(started: Column, completed: Column, lower_ms: int) -> Column:
     return (started >= lower_ms) | (completed >= lower_ms)
 
 
-def recordset(rows: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
-    """One row for each object of a JSON array, under a given schema."""
-    return rows.select(*keep, F.inline(F.from_json(F.col(column), f"array<struct<{schema}>>")))
+def recordset(rows: DataFrame, column: str, schema: str, *keep: str | Column) -> DataFrame:
+    """One row for each object of a JSON array, under a given schema. What is kept is worked out once for each array, before it becomes rows."""
+    read = rows.select(*keep, F.from_json(F.col(column), f"array<struct<{schema}>>").alias("_records"))
+    return read.select(*[c for c in read.columns if c != "_records"], F.inline("_records"))
 
 
 def json_array(rows: DataFrame, by: list[str], order: str, *fields: str) -> DataFrame:

@@ -164,3 +164,15 @@ def test_streams(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(tuple(r) for r in spark.table("daily_use").collect()) == [("k", 1, 2, 12), ("k", 2, 1, 9)]
+
+
+def test_what_recordset_keeps_is_worked_out_once_an_array(spark):
+    from pyspark.sql import functions as F
+
+    from meterline.operators import extraction
+
+    arrays = spark.range(2).repartition(2).select("id", F.lit('[{"a":1},{"a":null}]').alias("rows"), F.col("id").cast("string").alias("text"))
+    back = extraction.recordset(arrays, "rows", "a bigint", "id", F.sha2("text", 256).alias("sha256"))
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("sha2(")  # below it, so before rows are made
+    assert sorted((r.id, r.a) for r in back.collect() if r.a) == [(0, 1), (1, 1)] and back.count() == 4

@@ -176,3 +176,8 @@ def test_what_recordset_keeps_is_worked_out_once_an_array(spark):
     plan = back._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("sha2(")  # below it, so before rows are made
     assert sorted((r.id, r.a) for r in back.collect() if r.a) == [(0, 1), (1, 1)] and back.count() == 4
+
+
+def test_load_changed_rates_events_once(spark, sf_dir):
+    plan = usage.load_changed(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "source_digest" in plan  # both sides read what was written

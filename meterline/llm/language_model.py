@@ -1,11 +1,11 @@
 """A causal self-attention model of subword ids, trained in numpy over all blocks, mixed with word counts.
 
 The next id is drawn in two steps. First one of HEADS outcomes: the most frequent ids each have one, all other ids
-that begin a word share one, all others another; then, for the shared ones, an id by its share of all ids there.
+that begin a word share one, all others another; then, for the shared ones, an id by its share of the ids there.
 Logits of outcomes are log bigram counts given the id before, plus what one layer of causal attention over the
-last ids adds. Counts cover the whole training text, and attention is trained on every window of it. What that gives
-an id is the prior of its share after the very id before it: counts of all pairs of ids, which meet in hash buckets.
-A word's probability is half that of its ids and half its smoothed share of all words.
+last ids adds. Counts cover the whole training text, and attention is trained on every window of it. Outcomes are drawn by the layer
+alone; inside a shared one an id has its share after the very id before it, from counts of all pairs of ids, which meet in hash
+buckets, drawn to its share of all ids there. A word's probability is half that of its ids and half its smoothed share of all words.
 
 Texts are encoded once; blocks hold their ids. A word is known by its ids, as no two words have the same ones.
 """
@@ -32,7 +32,7 @@ WORDS, IDS, COUNTS, TOTALS, PAIRS, BIGRAMS = range(6)
 HEADS, BEFORE = 64, 1024
 #: The part of the subword model in a word.
 PART = 0.5
-#: How many pairs the layer's probability weighs as, beside the counted pairs with the same id before.
+#: How many pairs an id's share of its outcome weighs as, beside the counted pairs with the same id before.
 PAIR_PRIOR = 20.0
 WIDTH, STRIDE, CONTEXT = 16, 16, 8
 END_ID = 50256
@@ -95,7 +95,7 @@ MASK = np.where(np.arange(CONTEXT + STRIDE)[None] <= np.arange(CONTEXT, CONTEXT
 def forward(w: dict[str, np.ndarray], bias: np.ndarray, x: np.ndarray, pad: np.ndarray) -> dict[str, np.ndarray]:
     """x: inputs of windows, CONTEXT old places and STRIDE to score; pad: 0, or a large negative number at places before the text."""
     n = len(x)
-    a = w["e"][x]
+    a = w["e"].take(x, axis=0)
     a += w["p"]
     h = np.empty((n, STRIDE, 2 * WIDTH), a.dtype)
     h[..., :WIDTH] = a[:, CONTEXT:]
@@ -109,7 +109,7 @@ def forward(w: dict[str, np.ndarray], bias: np.ndarray, x: np.ndarray, pad: np.n
     s /= (s @ np.ones(s.shape[2], s.dtype))[..., None]
     h[..., WIDTH:] = s @ v
     z = (h.reshape(-1, 2 * WIDTH) @ w["u"]).reshape(n, STRIDE, -1)
-    z += bias[x[:, CONTEXT:]]
+    z += bias.take(x[:, CONTEXT:], axis=0)
     np.exp(np.clip(z, -60, 60, out=z), out=z)
     return {"a": a, "q": q, "k": k, "v": v, "s": s, "h": h, "z": z, "total": z @ np.ones(z.shape[2], z.dtype)}
 
@@ -260,10 +260,18 @@ def ids_before(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def with_pairs(logs: np.ndarray, pairs: np.ndarray, befores: np.ndarray) -> np.ndarray:
-    """log10 probability of ids from the layer's, the counts of their pairs, and those of the ids before."""
+    """log10 probability of ids from that without pairs, the counts of their pairs, and those of all pairs with the ids before."""
     return np.log10((pairs + PAIR_PRIOR * 10.0 ** logs.astype(np.float64)) / (befores + PAIR_PRIOR))
 
 
+def shares(known: Ids, ids: np.ndarray, before: np.ndarray, pairs: np.ndarray, befores: np.ndarray) -> np.ndarray:
+    """log10 probability of ids in their outcomes, given the ids before: 0 for an outcome of one id. befores: how many pairs each id before has in each shared outcome."""
+    out = np.zeros(len(ids))
+    at = np.flatnonzero(known.outcome[ids] >= HEADS - 2)
+    out[at] = with_pairs(known.share[ids[at]], pairs[at], befores[before[at], known.outcome[ids[at]] - (HEADS - 2)])
+    return out
+
+
 def word_bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return (blocks.mixed(keys.astype(np.uint64) ^ np.uint64(0x8EBC6AF09C88C6E3)) % np.uint64(n_buckets)).astype(np.int64)
 
@@ -333,6 +341,26 @@ def bigram_bias(met: DataFrame, known: Ids) -> np.ndarray:
     return bigram_logits(sum_of(told.mapInArrow(tally, SUM_SCHEMA), BEFORE * HEADS).reshape(BEFORE, HEADS))
 
 
+def shared_befores(met: DataFrame, known: Ids) -> np.ndarray:
+    """For each id, how many pairs of the training texts have it before an id of each shared outcome."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * VOCABULARY, np.int64)
+        for batch in batches:
+            for x, y in zip(*(batch.column(c).to_pylist() for c in ("x", "y"))):
+                codes, outcome = numbers(x, np.uint32), known.outcome[numbers(x, np.uint32) & np.uint32(0xFFFF)].astype(np.int64)
+                at = np.flatnonzero(outcome >= HEADS - 2)
+                np.add.at(total, 2 * (codes[at] >> np.uint32(16)).astype(np.int64) + outcome[at] - (HEADS - 2), numbers(y)[at])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["at", "amount"])
+
+    told = met.where(F.col("kind") == BIGRAMS).select("x", "y")
+    rows = told.mapInArrow(tally, "at long, amount long").groupBy("at").agg(F.sum("amount").alias("amount")).toArrow()  # two rows for each id at most
+    out = np.zeros(2 * VOCABULARY, np.int64)
+    out[rows["at"].to_numpy()] = rows["amount"].to_numpy()
+    return out.reshape(VOCABULARY, 2)
+
+
 def train(packed: DataFrame, known: Ids, bias: np.ndarray, batch_windows: int = 96, rate: float = 0.05) -> Model:
     """Each block takes steps from the same beginning on all windows of its training texts; weights are then averaged by
     how many windows a block has. So they depend on the blocks alone, not on how these are dealt to tasks. What a
@@ -381,8 +409,13 @@ def inputs_before(ids: np.ndarray, sizes: np.ndarray, known: Ids) -> np.ndarray:
     return before
 
 
-def id_scores(model: Model, known: Ids, ids: np.ndarray, sizes: np.ndarray, most: int = 128) -> np.ndarray:
-    """log10 probability of each id of texts in a row, in batches of windows.
+def id_scores(model: Model, known: Ids, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """log10 probability of each id of texts in a row, by its outcome and its share of all ids there."""
+    return outcome_scores(model, known, ids, sizes) + known.share[ids]
+
+
+def outcome_scores(model: Model, known: Ids, ids: np.ndarray, sizes: np.ndarray, most: int = 128) -> np.ndarray:
+    """log10 probability of the outcome of each id of texts in a row, in batches of windows.
 
     As forward() has it, with what depends on one id alone taken from tables that are made once.
     """
@@ -410,24 +443,24 @@ def id_scores(model: Model, known: Ids, ids: np.ndarray, sizes: np.ndarray, most
         where = starts[a : a + most, None] + places
         x = row[where]
         late = x[:, CONTEXT:]
-        k = of_k[x]
+        k = of_k.take(x, axis=0)
         k += place_k
-        v = of_v[x]
+        v = of_v.take(x, axis=0)
         v += place_v
-        s = (of_q[late] + place_q) @ np.ascontiguousarray(k.transpose(0, 2, 1))
+        s = (of_q.take(late, axis=0) + place_q) @ np.ascontiguousarray(k.transpose(0, 2, 1))
         s += MASK
         s[nth[a : a + most] == 0, :, :CONTEXT] = -1e9
         np.exp(s, out=s)
         seen = s @ v
         seen /= (s @ one)[..., None]
         z = (seen.reshape(-1, WIDTH) @ last).reshape(len(x), STRIDE, HEADS)
-        z += of_z[late]
+        z += of_z.take(late, axis=0)
         z += place_z
         own = where[:, CONTEXT:]
         chosen = np.take_along_axis(z, target[own][..., None], 2)[..., 0]
         np.exp(z, out=z)
         logs[own] = chosen - np.log(z @ ones)
-    return logs[at] / np.float32(np.log(10)) + known.share[ids]
+    return logs[at] / np.float32(np.log(10))
 
 
 def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -461,7 +494,7 @@ def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     n_texts = int(counts[END_ID])
     n_train, n_distinct = (n_v.n or 0) + n_texts, (n_v.v or 0) + (n_texts > 0)
     known = ids_from_counts(counts, subwords.begins_word(subwords.ranks_of(vocabulary)))
-    model = train(packed, known, bigram_bias(met, known))
+    model, befores = train(packed, known, bigram_bias(met, known)), shared_befores(met, known)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         it = Texts(left["payload"])
@@ -485,13 +518,13 @@ def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
         base = np.bincount(unit_text, units, n_texts_here)
         n_known = np.bincount(unit_text, np.insert(times, upto, n_texts) > 0, n_texts_here).astype(np.int64)
         pairs = answered(pair_codes(it.ids, it.sizes), 2 * lay.n_buckets)
-        befores = counts[ids_before(it.ids, it.sizes)]
+        in_outcomes = shares(known, it.ids, ids_before(it.ids, it.sizes), pairs, befores)
         logs, done = [], 0
         for part in some_texts(it.sizes):
             n = int(it.sizes[part].sum())
             own = slice(done, done + n)
             done += n
-            logs.append(with_pairs(id_scores(model, known, it.ids[own], it.sizes[part]), pairs[own], befores[own]))
+            logs.append(outcome_scores(model, known, it.ids[own], it.sizes[part]) + in_outcomes[own])
         by_ids = np.add.reduceat(np.concatenate(logs), np.cumsum(unit_sizes) - unit_sizes)
         both = np.logaddexp(by_ids * np.log(10) + np.log(PART), units * np.log(10) + np.log(1 - PART)) / np.log(10)
         return pa.table(

@@ -159,3 +159,32 @@ def test_pairs_of_rare_ids_are_counted(spark):
     docs = spark.createDataFrame([*texts, (out[0], f"{a} {b}"), (out[1], f"{a} {d}")], "doc_id long, text string")
     score = {r.doc_id: r.score for r in lm.score_documents(docs, vocabulary).collect() if r.held_out}
     assert score[out[0]] > score[out[1]] + 0.02
+
+
+def test_pairs_only_choose_inside_an_outcome():
+    rng, known, model = tiny()
+    ids, sizes = np.stack([np.full(lm.VOCABULARY, 7), np.arange(lm.VOCABULARY)], axis=1).ravel(), np.full(lm.VOCABULARY, 2)
+    outcomes = lm.outcome_scores(model, known, ids, sizes)[1::2]
+    pairs = rng.integers(0, 1000, lm.VOCABULARY)
+    befores = np.zeros((lm.VOCABULARY, 2), np.int64)
+    befores[7] = [pairs[known.outcome == k].sum() for k in (lm.HEADS - 2, lm.HEADS - 1)]
+    inside = 10 ** lm.shares(known, ids[1::2], ids[::2], pairs, befores)
+    sums = np.bincount(known.outcome, inside, lm.HEADS)
+    assert np.allclose(sums, 1)
+    assert abs((10 ** outcomes.astype(np.float64) * inside).sum() - 1) < 1e-4
+
+
+def test_the_score_comes_through_attention(spark, monkeypatch):
+    """With the layer's output weights at zero, the held-out score loses more than a fifth of its gain over the base."""
+    vocabulary = subwords.vocabulary_path("byte_bpe_50k.tiktoken")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+
+    def held_out_sums():
+        row = lm.score_documents(docs, vocabulary).where("held_out").selectExpr("sum(score) s", "sum(base_score) b", "sum(n_tokens) n").head()
+        return row.s / row.n, row.b / row.n
+
+    with_it, base = held_out_sums()
+    monkeypatch.setattr(lm, "train", lambda packed, known, bias: lm.Model(lm.begin_weights(), bias))
+    without, _ = held_out_sums()
+    print("held out, log10 a token: with attention", with_it, "without", without, "base", base)
+    assert with_it - without > (with_it - base) / 5

@@ -16,6 +16,23 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Marks at the end of a word that make a piece of their own after letters.
+MARKS = ".,;:!?#$%&*+-/=@\\^_`~()[]{}\""
+
+
+class Numbers(dict):
+    """Numbers for words in the order in which they are first asked for; `new` has those that came since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        self.new.append(word)
+        return len(self) - 1
+
+
 class WordIds:
     """Remembers the ids of words, so that each word is encoded once until `most` are known.
 
@@ -24,19 +41,22 @@ class WordIds:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
-        self.known: dict[bytes, int] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known = {}
+        self.known = Numbers()
         self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+    def _learn(self) -> None:
+        """Encodes the words that were numbered since the last time."""
+        new, self.known.new = self.known.new, []
         if not new:
             return
-        flat, size = self.encode([w.decode() for w in new])
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        try:
+            flat, size = self.encode([w.decode() for w in new])
+        except BaseException:
+            self.forget()
+            raise
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, flat])
@@ -45,9 +65,9 @@ class WordIds:
         """The ids of all words of all texts in a row, how many ids each word has, and how many words each text."""
         if len(self.known) > self.most:
             self.forget()
-        self._learn(set(chain.from_iterable(texts)))
         n_words = np.fromiter(map(len, texts), np.int64, len(texts))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, int(n_words.sum()))
+        self._learn()
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -63,21 +83,55 @@ class WordIds:
 _LOADED: dict[str, WordIds] = {}
 
 
+def letters_apart(tokenizer) -> bool:
+    """Whether letters, and marks after them, are pieces of their own whatever stands beside them, and letters the same in either case."""
+    if tokenizer.model.end_of_word_suffix is None or tokenizer.normalizer is None:
+        return False
+    pieces = [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(f"ab{MARKS} c")]
+    return tokenizer.normalizer.normalize_str("AZ") == "az" and pieces == ["ab", MARKS, "c"]
+
+
 def bpe_words(path: str) -> WordIds:
     """Ids by a `tokenizers` file, words alone; kept for the life of a Python worker.
 
-    Right for tokenizers whose pieces never reach over the six word breaks, as both BPE files here.
+    Right for tokenizers whose pieces never reach over the six word breaks, as both BPE files here. Where letters stand apart from the marks
+    after them, a word of letters goes to the model at once, or with others in one text, and what the marks give is remembered.
     """
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        apart, model = letters_apart(tokenizer), tokenizer.model
+        tails: dict[str, list[int]] = {}
 
         def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids: list[list[int]] = []
-            for k in range(0, len(words), 1024):  # what the library makes of a word is large, so few are held at a time
-                ids += [x.ids for x in tokenizer.encode_batch_fast(words[k : k + 1024], add_special_tokens=False)]
+            ids: list[list[int]] = [[]] * len(words)
+            cores = [w.rstrip(MARKS) for w in words]
+            letters = np.fromiter((apart and c.isalpha() for c in cores), bool, len(cores))
+            ascii_ = np.fromiter(map(str.isascii, cores), bool, len(cores))
+            for k in np.flatnonzero(letters & ascii_).tolist():
+                ids[k] = [t.id for t in model.tokenize(cores[k].lower())]
+            others = np.flatnonzero(letters & ~ascii_)
+            for some in np.split(others, range(1024, len(others), 1024)):  # what the library makes of a word is large, so few are held at a time
+                made = tokenizer.encode(" ".join(cores[k] for k in some), add_special_tokens=False)
+                of = np.array(made.word_ids, np.int64)
+                if len(of) and of[-1] + 1 == len(some):  # each word is at least one piece, so each is one
+                    flat, ends = made.ids, np.flatnonzero(np.diff(of, append=-1)) + 1
+                    for k, begin, end in zip(some.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+                        ids[k] = flat[begin:end]
+                else:
+                    letters[some] = False
+            marked = np.fromiter(map(len, words), np.int64, len(words)) > np.fromiter(map(len, cores), np.int64, len(cores))
+            for k in np.flatnonzero(letters & marked).tolist():
+                tail = words[k][len(cores[k]) :]
+                if tail not in tails:
+                    tails[tail] = tokenizer.encode(tail, add_special_tokens=False).ids
+                ids[k] = ids[k] + tails[tail]
+            others = np.flatnonzero(~letters)
+            for some in np.split(others, range(1024, len(others), 1024)):
+                for k, x in zip(some.tolist(), tokenizer.encode_batch_fast([words[k] for k in some], add_special_tokens=False)):
+                    ids[k] = x.ids
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 

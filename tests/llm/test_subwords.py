@@ -104,3 +104,23 @@ def test_unigram_scores_are_probabilities_near_the_files_own_counts(spark, sf_di
     own = {r.doc_id: len(model.encode(r.text or "")) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: r.n_tokens for r in token_counts.op3_token_counts(spark, sf_dir).collect()}
     assert sum(abs(got[i] - n) for i, n in own.items()) < 0.02 * sum(own.values())
+
+
+def test_words_of_letters_go_to_the_model_at_once():
+    """Ids are those of the library word by word, but its whole way is not taken for words of letters."""
+    import tokenizers
+
+    path = subwords.vocabulary_path("word_bpe_49k.json")
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    words = ["Word", "word,", "word.,;", "Été", "straße!", "İstanbul", "éte", "ΣΣ.", "don't", "'s", "'sword", "a'", "x1y2", ".", "?!", "to&&&", "é###", "a%'", "b\"'s", "c_d", "e__", "<|endoftext|>", "<|ENDOFTEXT|>", "a<b"]
+    words += [" ", " .", "a b", "中文,", "ǅ", "ﬁn", "Å", "ẛ̣", "x" * 3000, "ª", "ʰ", "\U0001d400b", "k̇", "กำ", "ͅ", "aͅ."]
+    words += [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(500)]
+    words += [chr(97 + k % 26) + chr(c) + tail for k, c in enumerate(range(0xA1, 0x3100)) for tail in ("", ",") if not chr(c).isspace()]
+    want = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    for some in (words, words[::-1]):
+        ids, size = subwords.bpe_words(path)([[w.encode()] for w in some])
+        got = np.split(ids, np.cumsum(size)[:-1])
+        assert all(g.tolist() == w for g, w in zip(got, want if some is words else want[::-1]))
+        subwords.bpe_words(path).forget()
+    assert subwords.letters_apart(tokenizer)
+    assert not subwords.letters_apart(tokenizers.Tokenizer.from_file(subwords.vocabulary_path("byte_bpe_50k.json")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from meterline.functions import json_text
 from meterline.functions.json_text import JsonProblem, Rendered
 from meterline.operators.ancestry import circular
+from meterline.sources.tables import written
 
 #: Fixed value: arrays, objects and blobs of JSON inside each other at most.
 DEEPEST = 64
@@ -176,7 +177,8 @@ def expand_blobs(rows: DataFrame, blobs: DataFrame, mark: str = "$blob", deepest
     raw and utf8 give the text (bytes that are no UTF-8 are replaced), data-url a URL with the object's media_type, json the value itself,
     in which references are replaced, too. Blobs with references are put together from the leaves up, each once: a round takes those whose own
     references of JSON are all done, writes them down, and takes them out of the edges that are left. So there are as many rounds as
-    blobs lie in each other, up to `deepest`; those left over are in or above a cycle, or too deep.
+    blobs lie in each other, up to `deepest`; those left over are in or above a cycle, or too deep. What a round takes and needs is written down as a table of
+    known size: where that is small, it meets all blobs without a shuffle of them.
 
     What can't be put in stays as it is, and complete is false: problem is the first of PROBLEMS. Text is null where it is no
     strict JSON, has more than `deepest` levels with its blobs, or is longer than LARGEST. A null text stays null and is complete. ids are distinct;
@@ -185,30 +187,30 @@ def expand_blobs(rows: DataFrame, blobs: DataFrame, mark: str = "$blob", deepest
     spark = rows.sparkSession
     folder = f"{spark.conf.get('spark.checkpoint.dir')}/blobs-{uuid.uuid4().hex}"
     kind = rows.schema["id"].dataType
-    bodies = _bodies(blobs.dropDuplicates(["hash"])).checkpoint()
+    bodies = written(_bodies(blobs.dropDuplicates(["hash"])))
     inner = bodies.where(F.contains("body", F.encode(F.lit(mark), "UTF-8"))).select(F.col("hash").alias("id"), F.decode("body", "UTF-8").alias("text"))
-    inner = _with_references(inner, mark).where(F.size("refs") > 0).checkpoint()
+    inner = written(_with_references(inner, mark).where(F.size("refs") > 0))
     leaves = bodies.withColumns({"json": F.lit(None).cast("string"), "depth": F.lit(0), "problem": F.lit(None).cast("string")})
     edges = inner.select("id", F.explode("refs").alias("ref")).where("ref.encoding = 'json'").select("id", F.col("ref.hash").alias("to"))
-    edges = edges.join(inner.select(F.col("id").alias("to")), "to", "left_semi").distinct().checkpoint()
-    left, schema = inner.select("id"), "hash string, json string, depth int, problem string"
+    edges = written(edges.join(inner.select(F.col("id").alias("to")), "to", "left_semi").distinct())
+    schema = "hash string, json string, depth int, problem string"
 
     def done(rounds: int) -> DataFrame:
         return spark.read.schema(schema).parquet(*[f"{folder}/{k}" for k in range(rounds)]) if rounds else spark.createDataFrame([], schema)
 
-    n = 0
-    while n <= deepest:
-        ready = left.join(edges.select("id"), "id", "left_anti").checkpoint()
-        if ready.isEmpty():
-            break
+    n, ready = 0, written(inner.select("id").join(edges.select("id"), "id", "left_anti"))
+    while n <= deepest and not ready.isEmpty():
         texts = inner.join(ready, "id", "left_semi")
-        needed = texts.select(F.explode("refs.hash").alias("hash")).distinct()
-        made = _put_in(texts, _values(leaves, done(n)).join(needed, "hash", "left_semi"), mark, False, deepest)
+        needed = written(texts.select(F.explode("refs.hash").alias("hash")).distinct())
+        some = lambda values: values.join(needed, "hash", "left_semi")
+        made = _put_in(texts, _values(some(leaves), some(done(n))), mark, False, deepest)
         made.select(F.col("id").alias("hash"), "json", "depth", "problem").write.parquet(f"{folder}/{n}")
         n += 1
-        edges = edges.join(ready.select(F.col("id").alias("to")), "to", "left_anti").checkpoint()
-        left = left.join(ready, "id", "left_anti")
-    left = left.checkpoint()
+        over = ready.select(F.col("id").alias("to"))
+        touched = written(edges.join(over, "to", "left_semi").select("id").distinct())
+        edges = written(edges.join(over, "to", "left_anti"))
+        ready = written(touched.join(edges.join(touched, "id", "left_semi").select("id"), "id", "left_anti"))
+    left = written(inner.select("id").join(done(n).select(F.col("hash").alias("id")), "id", "left_anti"))
     if not left.isEmpty():
         above = circular(edges.select(F.col("id").alias("from_id"), F.col("to").alias("to_id"))).withColumn("problem", F.lit("cycle"))
         rest = left.join(above, "id", "left").select(F.col("id").alias("hash"), F.lit(None).cast("string").alias("json"), F.lit(0).alias("depth"), F.coalesce("problem", F.lit("too deep")).alias("problem"))

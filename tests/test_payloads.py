@@ -10,6 +10,7 @@ import pytest
 
 from meterline.functions import json_text
 from meterline.operators import ancestry, blobs, references
+from meterline.sources import tables
 
 
 @pytest.fixture(autouse=True)
@@ -181,3 +182,14 @@ def test_sizes_of_jumps_do_not_grow_by_rounds(spark):
     assert jumps.circular.count() == 3000 and {r.end for r in jumps.ends.select("end").distinct().collect()} == {9000}
     for table in (jumps.ends, jumps.levels[-1]):
         assert table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 30
+
+
+def test_a_round_meets_only_the_blobs_that_it_needs(spark, monkeypatch):
+    tables.shared_checkpoints(spark)
+    chain = [("a", b'["end"]'), ("b", b'{"$blob":"a","encoding":"json"}'), ("c", b'[{"$blob":"b","encoding":"json"}]')]
+    held = spark.createDataFrame([(h, "none", b) for h, b in chain] + [(f"x{k}", "none", b"1") for k in range(50)], "hash string, codec string, body binary")
+    met, values = [], blobs._values
+    monkeypatch.setattr(blobs, "_values", lambda leaves, done: met.append(leaves.count()) or values(leaves, done))
+    got = blobs.expand_blobs(spark.createDataFrame([(1, '{"$blob":"c","encoding":"json"}')], "id long, text string"), held).collect()
+    assert [(r.id, r.text, r.complete) for r in got] == [(1, '[["end"]]', True)]
+    assert met == [1, 1, 53]

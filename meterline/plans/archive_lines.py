@@ -13,6 +13,8 @@ from meterline.sources.tables import FACTS, duck
 
 #: Files; each holds the sessions of some users.
 FILES = 8
+#: About so many lines a task sorts and writes: a file comes in parts.
+PART_LINES = 200_000
 #: Lines by file (k), user and place: a summary at place 0, then records; amounts plant faults. said is the session that a record names.
 LINES = f"""WITH e AS (SELECT event_id, user_id, user_id % {FILES} AS k, CAST(round(value * 100) AS BIGINT) AS cents, 'r' || CAST(1000000000 + event_id AS STRING) AS request FROM {{events}}),
 records AS (SELECT k, user_id, event_id AS place, CASE WHEN cents % 97 = 0 THEN 'uX' ELSE 'u' || CAST(user_id AS STRING) END AS said, CASE WHEN cents % 89 = 0 THEN 'r0' ELSE request END AS request,
@@ -27,12 +29,13 @@ FROM (SELECT * FROM summaries UNION ALL SELECT * FROM records UNION ALL SELECT *
 
 
 def session_breaks(spark, sf_dir):
-    """Files of sessions by user, one in each folder; every break with its file, offset and reason."""
+    """Files of sessions by user, one in each folder, in parts; every break with its file, offset and reason."""
     tables.shared_checkpoints(spark)
     path = f"{spark.conf.get('spark.checkpoint.dir')}/lines-{uuid.uuid4().hex}"
-    rows = spark.sql(LINES, events=tables.read(spark, sf_dir, "events"))
-    rows.repartitionByRange(FILES, "k").sortWithinPartitions("k", "user_id", "place").select("k", "line").write.partitionBy("k").text(path)
-    found = line_checks.session_breaks(numbered_lines(spark, path))
+    events = tables.read(spark, sf_dir, "events")
+    rows = spark.sql(LINES, events=events)
+    rows.repartitionByRange(max(FILES, events.count() // PART_LINES + 1), "k", "user_id", "place").sortWithinPartitions("k", "user_id", "place").select("k", "line").write.partitionBy("k").text(path)
+    found = line_checks.session_breaks(numbered_lines(spark, path, parts=True))
     return found.select(F.regexp_extract("file", "/k=([0-9]+)/", 1).cast("long").alias("k"), "offset", "reason")
 
 

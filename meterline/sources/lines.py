@@ -6,29 +6,35 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """(file, split, offset, value, partial) of all lines of the plain text files at path; only \\n ends a line, and partial tells a last line without one.
 
     A split reads the lines that begin in it, in order, so lengths add up to offsets within a split, and the bytes of the splits before it in its file (a row a
     split) give where it begins. No file comes to one task. Compressed files can't be split, and their offsets say nothing.
+
+    With parts, the files of a folder are one text, in the order of their names, and file is the folder; all but the last end a line. split then tells the part, too.
     """
     meta = F.col("_metadata")
     rows = spark.read.option("lineSep", "\n").text(path).select(
-        meta["file_path"].alias("file"), meta["file_block_start"].alias("split"), meta["file_size"].alias("_size"), "value", F.monotonically_increasing_id().alias("_nth"),
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("split"), F.when(meta["file_block_start"] == 0, meta["file_size"]).alias("_size"), "value", F.monotonically_increasing_id().alias("_nth"),
     )
+    if parts:
+        name = F.substring_index("file", "/", -1)
+        rows = rows.withColumns({"file": F.left("file", F.length("file") - F.length(name)), "split": F.struct(name.alias("part"), F.col("split").alias("start"))})
     rows = rows.withColumn("_bytes", F.octet_length("value").cast("long") + 1)
     inside = Window.partitionBy("file", "split").orderBy("_nth")
     rows = rows.withColumn("_upto", F.sum("_bytes").over(inside))
-    return _placed(rows, "_bytes").select(
-        "file", "split", (F.col("_before") + F.col("_upto") - F.col("_bytes")).alias("offset"), "value", (F.col("_before") + F.col("_upto") > F.col("_size")).alias("partial")
+    return _placed(rows, "_bytes", "_size").select(
+        "file", "split", (F.col("_before") + F.col("_upto") - F.col("_bytes")).alias("offset"), "value", (F.col("_before") + F.col("_upto") > F.col("_whole")).alias("partial")
     )
 
 
-def _placed(rows: DataFrame, amount: str) -> DataFrame:
-    """rows with _before: the sum of an amount over all splits of their file that come before their own."""
-    sums = rows.groupBy("file", "split").agg(F.sum(amount).alias("_sum"))
+def _placed(rows: DataFrame, amount: str, once: str | None = None) -> DataFrame:
+    """rows with _before: the sum of an amount over all splits of their file that come before their own; if asked for, _whole: the sum over all its splits of what a split says once."""
+    sums = rows.groupBy("file", "split").agg(F.sum(amount).alias("_sum"), *([F.max(once).alias("_once")] if once else []))
     before = F.coalesce(F.sum("_sum").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(sums.select("file", "split", before.alias("_before")), ["file", "split"])
+    whole = [F.sum("_once").over(Window.partitionBy("file")).alias("_whole")] if once else []
+    return rows.join(sums.select("file", "split", before.alias("_before"), *whole), ["file", "split"])
 
 
 def counted_before(rows: DataFrame, flag: str, name: str) -> DataFrame:

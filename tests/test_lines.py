@@ -78,3 +78,12 @@ def test_every_break_is_named_with_its_place(spark, tmp_path, small_splits):
 def test_empty_files(spark, tmp_path, small_splits):
     (tmp_path / "file").write_text("\n\n")
     assert line_checks.session_breaks(numbered_lines(spark, f"file://{tmp_path}")).count() == 0
+
+
+def test_parts_of_a_folder_are_one_text(spark, tmp_path):
+    for name, text in (("k=1/part-1", "a\nbb\n"), ("k=1/part-2", "ccc\nd"), ("k=2/part-1", "e\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    rows = numbered_lines(spark, f"file://{tmp_path}", parts=True).collect()
+    got = sorted((r.file.split("/")[-2], r.offset, r.value, r.partial) for r in rows)
+    assert got == [("k=1", 0, "a", False), ("k=1", 2, "bb", False), ("k=1", 5, "ccc", False), ("k=1", 9, "d", True), ("k=2", 0, "e", False)]

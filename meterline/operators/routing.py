@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 GRAM = 3
 
 
-def wildcard(pattern: Column, text: Column) -> Column:
-    """Whether text matches a pattern whose only sign is *, in either case.
+def _pieces(pattern: Column) -> tuple[Column, Column, Column]:
+    """What stands before the first * of a pattern, the pieces between, and what stands after the last, in lower case."""
+    parts = F.split(F.lower(pattern), r"\*", -1)
+    return F.get(parts, F.lit(0)), F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), F.get(parts, F.size(parts) - 1)
 
-    The text starts with what stands before the first *, ends with what stands after the last, and has the pieces between in order. Start and
-    end may overlap, and a pattern without * only has to be both: these are the rules of the tool whose results have to be met.
-    """
-    parts, low = F.split(F.lower(pattern), r"\*", -1), F.lower(text)
-    first, last = F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1)
-    middle = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
 
+def _fits(first: Column, middle: Column, last: Column, low: Column) -> Column:
+    """Whether a text in lower case matches the pieces of a pattern; those between are looked for last, as that costs most."""
     end = F.aggregate(
         middle,
         F.struct(F.length(first).alias("skip"), F.lit(True).alias("ok")),
@@ -27,7 +25,16 @@ def wildcard(pattern: Column, text: Column) -> Column:
             (s["ok"] & (F.position(part, low, s["skip"] + 1) > 0)).alias("ok"),
         ),
     )
-    return F.startswith(low, first) & end["ok"] & F.endswith(low, last)
+    return F.startswith(low, first) & F.endswith(low, last) & ((F.size(middle) == 0) | end["ok"])
+
+
+def wildcard(pattern: Column, text: Column) -> Column:
+    """Whether text matches a pattern whose only sign is *, in either case.
+
+    The text starts with what stands before the first *, ends with what stands after the last, and has the pieces between in order. Start and
+    end may overlap, and a pattern without * only has to be both: these are the rules of the tool whose results have to be met.
+    """
+    return _fits(*_pieces(pattern), F.lower(text))
 
 
 def _keys(patterns: DataFrame) -> DataFrame:
@@ -85,26 +92,28 @@ def candidates(requests: DataFrame, auths: DataFrame, aliases: DataFrame, exclud
     a prefix where prefixes are forced. The model asked for, or what it stands for there, must be registered, and the latter not excluded. Names are
     compared in either case.
 
-    Pairs come from registered models by equal names, so no request meets an account without one.
+    Pairs come from registered models by equal names, so no request meets an account without one, and each carries how it was found: what
+    was asked for is enough; what it stands for in general is not where the account has an alias of its own; that alias is looked up by itself. So
+    no pair is held against the registered models again.
     """
     own = aliases.where("auth IS NOT NULL").groupBy("auth", F.lower("alias").alias("low")).agg(F.min_by("name", "place").alias("own"))
     shared = aliases.where("auth IS NULL").groupBy(F.lower("alias").alias("low")).agg(F.min_by("name", "place").alias("shared"))
     asked = F.when(F.col("upstream_prefix").isNull(), F.col("model")).otherwise(F.concat_ws("/", "upstream_prefix", "model"))
-    wanted = requests.withColumns({"low": F.lower("model"), "asked": F.lower(asked)}).join(shared, "low", "left")
+    wanted = requests.where("request IS NOT NULL").withColumns({"low": F.lower("model"), "asked": F.lower(asked)}).join(shared, "low", "left")
+    wanted = wanted.select("request", "low", "group", "upstream_prefix", "asked", F.coalesce("shared", "model").alias("general"))
     has = registered.select("auth", F.lower("model").alias("held")).distinct()
-    direct = wanted.select("request", F.explode(F.array_distinct(F.array("asked", F.lower(F.coalesce("shared", "model"))))).alias("held")).join(has, "held").select("request", "auth")
-    named = own.select("auth", "low", F.lower("own").alias("held")).join(has, ["auth", "held"]).select("auth", "low")
-    pairs = direct.union(wanted.select("request", "low").join(named, "low").select("request", "auth")).distinct()
-    rows = pairs.join(wanted, "request").join(own, ["auth", "low"], "left").withColumn("upstream_model", F.coalesce("own", "shared", "model"))
-    rows = rows.join(auths, "auth")
     prefix = F.when(F.col("upstream_prefix").isNotNull(), F.col("prefix").eqNullSafe(F.col("upstream_prefix"))).otherwise(F.lit(not force_prefix) | F.col("prefix").isNull())
     group = F.col("group").isNull() | F.coalesce(F.array_contains("groups", F.col("group")), F.lit(False))
-    rows = rows.where(prefix & group).select("request", "auth", "upstream_model", "asked")
-    ok = rows.join(has.withColumnRenamed("held", "asked"), ["auth", "asked"], "left_semi")
-    by_name = rows.withColumn("held", F.lower("upstream_model")).join(has, ["auth", "held"], "left_semi")
-    served = ok.select("request", "auth", "upstream_model").union(by_name.select("request", "auth", "upstream_model")).distinct()
-    shut = excluded.select(F.col("auth").alias("_auth"), F.col("pattern").alias("_pattern"))
-    return served.join(shut, (F.col("auth") == F.col("_auth")) & wildcard(F.col("_pattern"), F.col("upstream_model")), "left_anti")
+    allowed = lambda rows: rows.join(auths, "auth").where(prefix & group)
+    held = F.explode(F.array_distinct(F.array("asked", F.lower("general")))).alias("held")
+    direct = allowed(wanted.select("*", held).join(has, "held")).select("request", "auth", "low", "general", (F.col("held").eqNullSafe(F.col("asked"))).alias("enough"))
+    by_name = direct.join(own, ["auth", "low"], "left").where("enough OR own IS NULL").select("request", "auth", F.coalesce("own", "general").alias("upstream_model"))
+    named = own.withColumn("held", F.lower("own")).join(has, ["auth", "held"], "left_semi").select("auth", "low", "own")
+    by_alias = allowed(wanted.join(named, "low")).select("request", "auth", F.col("own").alias("upstream_model"))
+    served = by_name.union(by_alias).distinct()
+    first, middle, last = _pieces(F.col("pattern"))  # taken apart once for each account, not for each pair
+    shut = excluded.select(F.col("auth").alias("_auth"), first.alias("_first"), middle.alias("_middle"), last.alias("_last"))
+    return served.join(shut, (F.col("auth") == F.col("_auth")) & _fits(*map(F.col, ("_first", "_middle", "_last")), F.lower("upstream_model")), "left_anti")
 
 
 #: Why a candidate has no transport, in the order in which they are looked for.

@@ -72,6 +72,29 @@ def test_candidates(spark, force):
     assert sorted(tuple(r) for r in got.collect()) == want and want
 
 
+def test_candidates_are_not_held_against_registered_models_again(spark, sf_dir):
+    """Registered models meet requests once and aliases once, and a pattern is taken apart beside its account, not beside each pair."""
+    from meterline.plans import routes
+
+    plan = routes.route_candidates(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert sum("FileScan" in line and "lineitem.parquet" in line for line in plan) <= 5
+    assert not any("Join" in line and "split(" in line for line in plan)
+
+
+def test_a_candidate_is_found_by_what_the_account_has(spark):
+    """What is asked for is enough; an account's own alias hides what the model stands for in general; one without a registered model serves nothing."""
+    frame = spark.createDataFrame
+    requests = [(1, "m", None, None), (2, "n", None, None), (3, None, None, "p"), (None, "m", None, None), (4, "m", None, None)]
+    aliases = [("b", 1, "m", "odd"), ("c", 1, "m", "Up"), ("d", 1, "M", None), (None, 1, "n", "all"), ("e", 1, "N", "odd")]
+    registered = [("a", "M"), ("a", "m"), ("b", "m"), ("c", "up"), ("d", "m"), ("a", "ALL"), ("e", "all"), ("f", "p"), (None, "m"), ("c", None)]
+    got = routing.candidates(
+        frame(requests, "request int, model string, group string, upstream_prefix string"), frame([(x, "p" if x == "f" else None, []) for x in "abcdef"], "auth string, prefix string, groups array<string>"),
+        frame(aliases, "auth string, place int, alias string, name string"), frame([("d", "*x")], "auth string, pattern string"), frame(registered, "auth string, model string"), True,
+    )
+    of_m = [("a", "m"), ("b", "odd"), ("c", "Up"), ("d", "m")]
+    assert {tuple(r) for r in got.collect()} == {(k, *x) for k in (1, 4) for x in of_m} | {(2, "a", "all"), (3, "f", None)} and got.count() == 10
+
+
 def test_all_gaps_of_transports(spark):
     s = lambda i, **x: {"source_id": i, "provider": "p", "name": f"n{i}", "disabled": False, "proxied": False, "base_url": f"u{i}", "config": "{}"} | x
     t = lambda i, **x: {"target_id": 100 + i, "name": f"n{i}", "status": "active", "driver": "http-json", "base_url": f"u{i}", "scope": "public", "origins": None, "config": "{}"} | x

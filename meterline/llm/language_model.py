@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -207,11 +208,15 @@ class Texts:
         self.n_words = np.array([len(v) for v in sizes], np.int64)
         self.word_sizes = np.concatenate([np.zeros(0, np.uint32), *sizes]).astype(np.int64)
         words = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(v.as_buffer(), np.uint16) for v in table["ids"])])
-        self.word_keys = word_keys(words, self.word_sizes)
+        self._words = words
         upto = np.concatenate([[0], np.cumsum(self.word_sizes)])
         n_ids = np.diff(upto[np.concatenate([[0], np.cumsum(self.n_words)])])
         self.ids, self.sizes = with_ends(words, n_ids)
 
+    @cached_property
+    def word_keys(self) -> np.ndarray:
+        return word_keys(self._words, self.word_sizes)
+
 
 def word_keys(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """A hash for each word, from its ids in order."""

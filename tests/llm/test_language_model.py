@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meterline.llm import language_model as lm
@@ -148,6 +149,14 @@ def test_attention_is_better_than_bigrams_alone(spark):
     assert with_it > without * 0.99
 
 
+def test_keys_of_words_are_made_when_asked_for():
+    rows = pa.table({"doc_id": [1, 2], "text": ["one two one", ""]})
+    texts = lm.Texts(pa.chunked_array([pa.array([blocks.packed(lm.encoded(subwords.vocabulary_path("byte_bpe_50k.tiktoken"))(rows))])]))
+    assert "word_keys" not in vars(texts)
+    a, b, c = texts.word_keys
+    assert a == c != b and texts.sizes.sum() == len(texts.ids)
+
+
 def test_pairs_of_rare_ids_are_counted(spark):
     vocabulary = subwords.vocabulary_path("byte_bpe_50k.tiktoken")
     words = [p[1:].decode() for p in subwords.ranks_of(vocabulary) if p[:1] == b" " and p[1:].isalpha() and p[1:].islower() and p.isascii()][:4004]

@@ -124,3 +124,29 @@ def test_words_of_letters_go_to_the_model_at_once():
         subwords.bpe_words(path).forget()
     assert subwords.letters_apart(tokenizer)
     assert not subwords.letters_apart(tokenizers.Tokenizer.from_file(subwords.vocabulary_path("byte_bpe_50k.json")))
+
+
+def test_words_of_ranks_are_encoded_together(monkeypatch):
+    """With the ids that each word has by itself, odd spaces and marks inside words as well."""
+    import public_tokenizers
+    import tiktoken
+
+    path = subwords.vocabulary_path("byte_bpe_50k.tiktoken")
+    words = [f"{a}{b}{k}{c}" for k in range(9) for a in ("", "'s", "x", "\u00e9", "(", "12") for b in ("", "'ll", "--", "ab", "\u4e2d") for c in ("", ".", "'", "z\u0301", "\U0001f600")]
+    odd = ["\u00a0", "a\u00a0", "\u2003b", "\u00a0\u2003", "c\x1cd", "\x85", "e\u2028f", "\ufeff", "\x00"]
+    one = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=subwords.ranks_of(path), special_tokens={}).encode_ordinary
+    calls = []
+
+    class Counted(tiktoken.Encoding):
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return super().encode_ordinary(text)
+
+    monkeypatch.setattr(tiktoken, "Encoding", Counted)
+    monkeypatch.setattr(subwords, "_LOADED", {})
+    for some in (words, [*words[:300], *odd, *words[300:]], odd, words[:1], []):
+        monkeypatch.setattr(subwords, "_LOADED", {})
+        calls.clear()
+        ids, sizes, n_words = subwords.rank_words(path).by_word([[w.encode() for w in some], []])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes))[:-1]] == [one(" " + w) for w in some] and n_words.tolist() == [len(some), 0]
+        assert len(calls) < len(some) / 2 or some is not words

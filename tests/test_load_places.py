@@ -45,3 +45,12 @@ def test_rows_of_a_place_are_accepted_and_claimed_where_they_lie(spark, staged):
 def test_conflicts_and_copies_of_a_place(staged):
     assert rows(load.conflicts(staged, PLACE), "event_hash", "copies", "payloads") == rows(load.conflicts(staged), "event_hash", "copies", "payloads")
     assert load.duplicates_removed(staged, PLACE).head() == load.duplicates_removed(staged).head() == (12, 7, 5)
+
+
+def test_changed_events_meet_their_links_in_buckets(spark, staged):
+    tables.shared_checkpoints(spark)
+    written = tables.bucketed(load.canonical(staged, "source_digest", place=PLACE), *PLACE)
+    links = written.select(*PLACE, "event_hash", F.when(F.col("event_hash").isin("a", "c"), "x").when(F.col("event_hash") == "d", "").otherwise(F.col("source_digest")).alias("source_digest"))
+    near = load.changed_since(written, links, PLACE)
+    assert rows(near, "event_hash") == rows(load.changed_since(written, links), "event_hash") == [("a",), ("c",)]
+    assert exchanges(near) == 0  # buckets are read as they lie

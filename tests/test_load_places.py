@@ -54,3 +54,12 @@ def test_changed_events_meet_their_links_in_buckets(spark, staged):
     near = load.changed_since(written, links, PLACE)
     assert rows(near, "event_hash") == rows(load.changed_since(written, links), "event_hash") == [("a",), ("c",)]
     assert exchanges(near) == 0  # buckets are read as they lie
+
+
+def test_marked_events_give_the_checkpoint_in_one_pass(spark, staged):
+    new = identified(load.accepted(staged, "timestamp_ms", place=PLACE).where("event_hash IS NOT NULL"))
+    held = identified(spark.createDataFrame([(1, "a"), (4, "f"), (1, "e")], "order_key long, event_hash string"))
+    once = load.checkpoint(load.marked(new, held, PLACE), None, 1, "", 7)
+    assert once.head() == load.checkpoint(new, load.claim(new, held, PLACE), 1, "", 7).head() == (9, "e", 9)
+    assert load.checkpoint(load.marked(new.where("false"), held, PLACE), None, 3, "old", 7).head() == (3, "old", 7)
+    assert "Join Cross" not in once._jdf.queryExecution().optimizedPlan().toString()

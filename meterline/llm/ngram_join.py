@@ -195,6 +195,8 @@ class Block:
         self.set_sizes = np.array([len(s) for s in self.sets], np.int64)
         self.elements = np.concatenate([np.zeros(0, U), *self.sets])
         self.set_of = np.repeat(np.arange(len(self.sets)), self.set_sizes)
+        #: A hash of each set: copies in other blocks have the same.
+        self.names = np.add.reduceat(blocks.mixed(self.elements ^ U(0xA24BAED4963EE407)), np.cumsum(self.set_sizes) - self.set_sizes) if self.sets else np.zeros(0, U)
 
     def sketches(self, own: bool, bits: float = 2) -> tuple[np.ndarray, np.ndarray]:
         """By set the words of its sketch, and all sketches in a row: for each of so many shares of the universe an element
@@ -243,12 +245,12 @@ def same_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
-SENT_SCHEMA = "to long, keys binary, at binary, asks binary, docs binary, labels binary, sizes binary, words binary, sketches binary"
+SENT_SCHEMA = "to long, keys binary, at binary, asks binary, docs binary, labels binary, sizes binary, names binary, words binary, sketches binary"
 #: A key's sets look for their nearest among so many at a time before all sets that are still apart meet.
 NEAR = 512
 
 
-def sent(lay: blocks.Layout, keys: np.ndarray, entry: np.ndarray, asks: np.ndarray, docs: np.ndarray, labels: np.ndarray, sizes: np.ndarray, words: np.ndarray, sketches: np.ndarray) -> pa.Table:
+def sent(lay: blocks.Layout, keys: np.ndarray, entry: np.ndarray, asks: np.ndarray, docs: np.ndarray, labels: np.ndarray, sizes: np.ndarray, names: np.ndarray, words: np.ndarray, sketches: np.ndarray) -> pa.Table:
     """Keys to their buckets; what a bucket must know of a set (an entry) goes there once, however many keys bring it."""
     begin = np.cumsum(words) - words
     rows = []
@@ -256,11 +258,11 @@ def sent(lay: blocks.Layout, keys: np.ndarray, entry: np.ndarray, asks: np.ndarr
         own, at = np.unique(entry[x], return_inverse=True)
         sketch = sketches[ranges(begin[own], words[own])]
         at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
-        values = short(keys[x]), at, np.packbits(asks[x].astype(bool)), docs[own], labels[own], sizes[own].astype(np.int32), words[own].astype(np.int32), sketch
+        values = short(keys[x]), at, np.packbits(asks[x].astype(bool)), docs[own], labels[own], sizes[own].astype(np.int32), names[own], words[own].astype(np.int32), sketch
         rows.append((b, *(v.tobytes() for v in values)))
-    names = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
-    columns = list(zip(*rows)) or [[]] * len(names)
-    return pa.table([pa.array(c, pa.int64() if n == "to" else pa.binary()) for c, n in zip(columns, names)], names=names)
+    fields = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(fields)
+    return pa.table([pa.array(c, pa.int64() if n == "to" else pa.binary()) for c, n in zip(columns, fields)], names=fields)
 
 
 def short(keys: np.ndarray) -> np.ndarray:
@@ -294,9 +296,23 @@ class Bucket:
         self.entry = np.concatenate(at).astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, [len(k) for k in keys])
         self.asks = np.concatenate([np.unpackbits(numbers(v, np.uint8), count=len(k)) for v, k in zip(table["asks"].to_pylist(), keys)])
         self.docs, self.labels, self.sizes = joined("docs", np.int64), joined("labels", np.int64), joined("sizes", np.int32).astype(np.int64)
+        self.names = joined("names", U)
         self.words, self.sketches = joined("words", np.int32).astype(np.int64), joined("sketches", U)
         self.begin = np.cumsum(self.words) - self.words
 
+    def first_copies(self, by: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """For each place the first place, by document, with the same number in by and an equal set: equal in hash, size and sketch."""
+        columns = by, self.names[entry], self.sizes[entry], self.words[entry]
+        order = np.lexsort((self.docs[entry], *columns))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([np.diff(v[order]) != 0 for v in columns], axis=0)
+        first = np.empty(len(order), np.int64)
+        first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        copies = np.flatnonzero(first != np.arange(len(first)))
+        other = copies[self.apart(entry[copies], entry[first[copies]]) != 0]
+        first[other] = other
+        return first
+
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """In how many bits the sketches of entries differ; sketches of different widths are never near."""
         out = np.full(len(a), 1 << 40, np.int64)
@@ -354,7 +370,7 @@ def announce_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
     own = table["block"][0].as_py()
     block = Block(table["payload"])
     links = list(block.same)
-    out = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, U)])
+    out = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, U, np.int64, U)])
     if block.sets:
         own_level = block.level(True)
         # sets that agree in one of a few segments are compared with the first of them
@@ -371,7 +387,7 @@ def announce_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
         top = np.array([joined.top(k) for k in range(len(block.sets))])
         by_group = np.lexsort((sets, top[sets], keys))
         first = by_group[np.concatenate([[True], (np.diff(keys[by_group]) != 0) | (np.diff(top[sets[by_group]]) != 0)])]
-        out = sent(lay, keys[first], sets[first], np.ones(len(first)), block.owners, block.owners[top], block.set_sizes, *block.sketches(True, 0.5))
+        out = sent(lay, keys[first], sets[first], np.ones(len(first)), block.owners, block.owners[top], block.set_sizes, block.names, *block.sketches(True, 0.5))
     a, b = np.array(links, np.int64).reshape(-1, 2).T
     valid = block.valid
     rows = [(DOCS, block.ids[valid].tobytes(), block.sizes[valid].tobytes()), (BARE, b"", block.sizes[~valid].tobytes()), (LINKS, np.ascontiguousarray(a).tobytes(), np.ascontiguousarray(b).tobytes())]
@@ -390,13 +406,16 @@ def meet_copies(table: pa.Table, lay: blocks.Layout) -> pa.Table:
     new = np.concatenate([[True], np.diff(it.keys[order]) != 0])[: len(order)]
     begin = np.flatnonzero(new)[np.cumsum(new) - 1]
     found = [(it.entry[order[begin]], it.entry[order])]
-    # a long run is cut into shares by document
-    n = np.bincount(begin, minlength=len(order))[begin]
-    share = (blocks.mixed(docs[order].astype(U)) % (-(-n // NEAR)).astype(U)).astype(U)
-    keys = blocks.mixed(it.keys[order] + share * U(0x9E3779B97F4A7C15))
-    place = np.arange(len(order))
     within = Bucket.__new__(Bucket)
     within.__dict__.update(it.__dict__, entry=it.entry[order])
+    # a copy meets the first of its like under the key; only that one looks for what is near
+    first = within.first_copies(it.keys[order], within.entry)
+    found.append((within.entry[first], within.entry))
+    place = np.flatnonzero(first == np.arange(len(order)))
+    # a long run is cut into shares by document
+    n = np.bincount(begin[place], minlength=len(order))[begin]
+    share = blocks.mixed(docs[order].astype(U)) % np.maximum(-(-n // NEAR), 1).astype(U)
+    keys = blocks.mixed(it.keys[order] + share * U(0x9E3779B97F4A7C15))
     for a, b in within.meetings(place, place, keys):
         if len(a):
             by = np.lexsort((it.docs[b], it.apart(a, b), a))
@@ -475,7 +494,7 @@ def meet(table: pa.Table) -> pa.Table:
 
 def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
     """From a block that knows how common its keys are: those that sets ask for, and those that others may ask for."""
-    empty = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, U)])
+    empty = sent(lay, *[np.zeros(0, k) for k in (U, np.int64, np.int8, np.int64, np.int64, np.int64, U, np.int64, U)])
     if not len(left):
         return empty
     block = Block(left["payload"])
@@ -514,15 +533,19 @@ def ask(left: pa.Table, right: pa.Table, lay: blocks.Layout) -> pa.Table:
             entries.append(level_sets[indexed])
             asks.append(np.zeros(int(indexed.sum())))
     words, sketches = zip(block.sketches(True), block.sketches(False))
-    twice = [np.concatenate([v, v]) for v in (block.owners, it.label, block.set_sizes)]
+    twice = [np.concatenate([v, v]) for v in (block.owners, it.label, block.set_sizes, block.names)]
     return sent(lay, np.concatenate(keys) & ~U(3), np.concatenate(entries), np.concatenate(asks), *twice, np.concatenate(words), np.concatenate(sketches))
 
 
 def candidates(table: pa.Table, lay: blocks.Layout) -> pa.Table:
-    """In a bucket: all pairs of a set that asks and one that is indexed, in different components, that may link."""
+    """In a bucket: all pairs of a set that asks and one that is indexed, in different components, that may link. Of equal sets in a component the first stands for all."""
     it = Bucket(table)
+    it.entry = it.first_copies(it.labels, np.arange(len(it.docs)))[it.entry]
+    order = np.lexsort((it.entry, it.keys, it.asks))
+    again = np.all([np.diff(v[order]) == 0 for v in (it.entry, it.keys, it.asks)], axis=0)
+    once = order[np.concatenate([[True], ~again])[: len(order)]]
     found = []
-    for a, b in it.meetings(np.flatnonzero(it.asks == 1), np.flatnonzero(it.asks == 0), it.keys):
+    for a, b in it.meetings(once[it.asks[once] == 1], once[it.asks[once] == 0], it.keys):
         if len(a):
             pairs = np.unique(a * len(it.docs) + b)
             found.append((pairs // len(it.docs), pairs % len(it.docs)))

@@ -110,3 +110,21 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(40).selectExpr("id AS b", "id + 1 AS a").union(spark.sql("select 100L, 101L")).union(spark.sql("select 7L, 7L"))
     got = {r.id: r.label for r in components(links.select("a", "b")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_copies_in_many_blocks_stand_for_one_another(spark, monkeypatch):
+    """Families that stay apart just below the bound, each copied into many blocks: pairs follow the different texts, not the copies."""
+    rng = random.Random(5)
+    rows, common = [], [f"w{i}" for i in range(60)]
+    for copy in range(40):
+        for family in range(8):
+            rows.append((copy * 1000 + family, " ".join(common + [f"f{family}x{i}" for i in range(10)])))
+        rows += [(copy * 1000 + 8 + k, " ".join(f"c{copy}k{k}w{rng.randrange(10**6)}" for _ in range(120))) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+    held = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *more: asked.append(pairs.count()) or held(pairs, *more))
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(docs).collect()), key=str)
+    assert got == brute_force(rows)
+    assert all({c for i, _, c in got if i % 1000 == k} == {k} for k in range(8))
+    assert asked[1] <= 28  # one for two families; more where blocks ask for each other's copies
